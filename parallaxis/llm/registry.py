@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jpeg_media
+from parallaxis.llm import jpeg_media, pattern_packing
 from parallaxis.llm.common import table
 
 
@@ -11,8 +11,13 @@ def op6_media_columns(spark, sf_dir):
     return jpeg_media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    """All ``documents`` in sequences of at most 2048 tokens."""
+    return pattern_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op6_media_columns,)}
+    return {f.__name__: f for f in (op6_media_columns, op8_best_fit_packing)}
 
 
 def oracle_sql():
