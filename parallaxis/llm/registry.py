@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jpeg_media, pattern_packing
+from parallaxis.llm import jpeg_media, mixing, pattern_packing
 from parallaxis.llm.common import table
 
 
@@ -16,9 +16,14 @@ def op8_best_fit_packing(spark, sf_dir):
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_mixing(spark, sf_dir):
+    """All ``documents`` mixed to the target weights of their sources."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op6_media_columns, op8_best_fit_packing)}
+    return {f.__name__: f for f in (op6_media_columns, op8_best_fit_packing, op10_mixing)}
 
 
 def oracle_sql():
-    return {}
+    return {"op10_mixing": mixing.oracle_sql()}
