@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jpeg_media, mixing, pattern_packing
+from parallaxis.llm import jpeg_media, mixing, pattern_packing, substring_dedup
 from parallaxis.llm.common import table
 
 
@@ -11,6 +11,11 @@ def op6_media_columns(spark, sf_dir):
     return jpeg_media.media_columns(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    """What is left of all ``documents`` without 13-word windows of smaller documents."""
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op8_best_fit_packing(spark, sf_dir):
     """All ``documents`` in sequences of at most 2048 tokens."""
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
@@ -22,8 +27,8 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op6_media_columns, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
 
 
 def oracle_sql():
-    return {"op10_mixing": mixing.oracle_sql()}
+    return {"op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
