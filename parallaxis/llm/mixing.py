@@ -73,7 +73,9 @@ def draw_slots(targets: DataFrame) -> DataFrame:
     passes = permute(passes, "last", "short_at", "n", backwards=True)
     passes = passes.withColumn("slots", F.least("n", F.ceil((F.col("words_due") + BLOCK - F.col("short")) / BLOCK)))
     chunks = passes.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / CHUNK))))
-    chunks = chunks.repartition("s", "pass", "chunk")
+    # a few rows here, but many after the next step: as many tasks as for any exchange, and no broadcast
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(parts, "s", "pass", "chunk")
     first = F.col("chunk") * CHUNK
     slots = chunks.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1)))
     start = F.col("slot") * BLOCK - F.when(F.col("slot") > F.col("short_at"), BLOCK - F.col("short")).otherwise(0)
@@ -104,7 +106,7 @@ def _overlaps(placed: DataFrame, slots: DataFrame) -> DataFrame:
     """Each stretch of a document that a slot takes: s, at, pass, first word and words, from the document's start."""
     spans = placed.where("size > 0").select("s", "at", "size")
     spans = spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / BLOCK), F.floor((F.col("at") + F.col("size") - 1) / BLOCK))))
-    joined = spans.join(slots.select("s", "pass", "block", "words"), ["s", "block"])
+    joined = spans.join(slots.select("s", "pass", "block", "words").hint("merge"), ["s", "block"])
     begin, end = F.greatest(F.col("at"), F.col("block") * BLOCK), F.least(F.col("at") + F.col("size"), F.col("block") * BLOCK + F.col("words"))
     return joined.select("s", "at", "pass", (begin - F.col("at")).alias("first"), (end - begin).alias("taken")).where("taken > 0")
 
