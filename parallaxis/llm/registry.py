@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jpeg_media, mixing, pattern_packing, substring_dedup
+from parallaxis.llm import jaccard_join, jpeg_media, mixing, pattern_packing, substring_dedup, toxicity
 from parallaxis.llm.common import table
 
 
+def op1_toxicity(spark, sf_dir):
+    """Toxicity of every text of ``documents``, learned from ``labels``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_jaccard_join(spark, sf_dir):
+    """All ``documents`` with their classes, links and components at 0.8."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_media_columns(spark, sf_dir):
     """Baseline JPEG media of every text of ``documents``."""
     return jpeg_media.media_columns(table(spark, sf_dir, "documents"))
@@ -27,8 +39,8 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
 
 
 def oracle_sql():
-    return {"op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
+    return {"op4_jaccard_join": jaccard_join.oracle_sql(), "op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
