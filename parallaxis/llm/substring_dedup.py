@@ -86,7 +86,7 @@ def _send_anchors(window, shards):
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole.filter(pc.and_(pc.is_valid(whole["doc"]), pc.is_valid(whole["text"]))), "text"):
                 keys = batch.column("key").to_numpy()
                 _, _, _, anchor, owner = _batch(batch, window)
                 shard, code = _short(anchor, shards)
@@ -196,7 +196,7 @@ def _stretches(batch, window, shards):
         at = go[at]
         text = hashes[np.concatenate([flat[tail[k] : tail[k] + words[k]] for k in at])]
         out[0].append(s)
-        out[1].append(struct.pack("<q", len(at)) + docs[who[at]].astype("<i8").tobytes() + keys[who[at]].astype("<i8").tobytes() + begin[at].astype("<i4").tobytes() + words[at].astype("<i4").tobytes() + text.astype("<u8").tobytes())
+        out[1].append(struct.pack("<q", len(at)) + docs[who[at]].astype("<i8").tobytes() + keys[who[at]].astype("<i8").tobytes() + begin[at].astype("<i4").tobytes() + words[at].astype("<i4").tobytes() + (text & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (text >> np.uint64(48)).astype("<u2").tobytes())
         out[2].append(None)
         out[3].append(None)
     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], names=["shard", "blob", "key", "spans"])
@@ -217,7 +217,9 @@ def _search(window):
             for k, kind in enumerate(("<i8", "<i8", "<i4", "<i4")):
                 parts[k].append(np.frombuffer(blob, kind, n, at))
                 at += n * int(kind[2])
-            parts[4].append(np.frombuffer(blob, "<u8", offset=at))
+            total = int(parts[3][-1].sum())
+            low, high = np.frombuffer(blob, "<u4", total, at), np.frombuffer(blob, "<u2", total, at + 4 * total)
+            parts[4].append(high.astype(np.int64) << 32 | low)  # 48 bits of each word's hash
         docs, keys, begin, words, hashes = (np.concatenate(x) for x in parts)
         _, symbols = np.unique(hashes, return_inverse=True)
         del hashes, parts
@@ -275,23 +277,26 @@ def _search(window):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(key, doc, text)``; the key tells apart rows of one id with different texts, rows without an id have none."""
+def _keyed(docs: DataFrame, id_col: str, text_col: str, rest: list[str]) -> DataFrame:
+    """``(key, doc, text, rest)``; the key tells apart rows of one id with different texts.
+
+    Both joins of the plan take these very rows, so Spark deals the texts once.
+    """
     text = F.col(text_col).cast("string")
-    return docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("doc"), text.alias("text"))
+    other = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None).cast("byte")
+    return docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("doc"), text.alias("text"), other.alias("rest"))
 
 
-def covered_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(key, spans)``: word intervals, packed pairs of 32-bit begin and end, that repeat smaller documents.
+def covered_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``(key, spans)`` of rows ``(key, doc, text, ...)``: word intervals, packed pairs of 32-bit begin and end, that repeat smaller documents.
 
     ``key`` is the 64-bit hash of id and text. Only documents with such
     intervals appear; intervals may overlap.
     """
     if not ANCHOR <= window < FMIndex.DEPTH:
         raise ValueError(f"windows hold {ANCHOR} to {FMIndex.DEPTH - 1} words")
-    shards = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 2
-    rows = _keyed(docs, id_col, text_col).where("doc is not null and text is not null")
-    sent = rows.mapInArrow(_send_anchors(window, shards), "shard int, docs binary, codes binary, key long, shared binary")
+    shards = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 2
+    sent = rows.select("key", "doc", "text").mapInArrow(_send_anchors(window, shards), "shard int, docs binary, codes binary, key long, shared binary")
     shared = sent.groupBy("shard").applyInArrow(_shared_anchors, "key long, shared binary")
     shared = shared.groupBy("key").agg(F.collect_list("shared").alias("shared"))
     marked = rows.join(shared, "key")
@@ -327,11 +332,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     removes nor loses words; rows that repeat an id don't remove from each
     other; an empty table gives no rows.
     """
-    spans = covered_spans(docs, id_col, text_col, window)
-    given = [c for c in docs.columns]
-    kind = docs.schema[id_col].dataType.simpleString()
+    given = docs.columns
+    rest = [] if digest else [c for c in given if c != text_col]
+    rows = _keyed(docs, id_col, text_col, rest)
+    marked = rows.join(covered_spans(rows, window), "key", "left")
     if digest:
-        rows = _keyed(docs, id_col, text_col).join(spans, "key", "left").select("doc", "text", "spans")
+        kind = docs.schema[id_col].dataType.simpleString()
 
         def summarise(batches):
             for batch in batches:
@@ -343,12 +349,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     sha.append(hashlib.sha256(kept).hexdigest())
                 yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], names=["doc", "n_words", "n_removed", "kept_sha256"])
 
-        out = rows.mapInArrow(summarise, "doc long, n_words long, n_removed long, kept_sha256 string")
+        out = marked.select("doc", "text", "spans").mapInArrow(summarise, "doc long, n_words long, n_removed long, kept_sha256 string")
         return out.select(F.col("doc").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256")
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.struct(*[F.col(c) for c in given]).alias("row"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
-    rows = rows.join(spans, "key", "left").select("row", "text", "spans")
-    row_type = rows.schema["row"].dataType.simpleString()
+    row_type = rows.schema["rest"].dataType.simpleString()
 
     def rewrite(batches):
         for batch in batches:
@@ -359,10 +362,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 n.append(a)
                 gone.append(b)
                 new.append(kept.decode("utf-8", "surrogatepass") if b else given_text)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["row", "text", "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["rest", "text", "n_words", "n_removed"])
 
-    out = rows.mapInArrow(rewrite, f"row {row_type}, text string, n_words long, n_removed long")
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in given], "n_words", "n_removed")
+    out = marked.select("rest", "text", "spans").mapInArrow(rewrite, f"rest {row_type}, text string, n_words long, n_removed long")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in given], "n_words", "n_removed")
 
 
 def oracle_sql(window: int = WINDOW) -> str:
