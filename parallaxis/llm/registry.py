@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jaccard_join, jpeg_media, mixing, pattern_packing, substring_dedup, toxicity
+from parallaxis.llm import jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
 from parallaxis.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_toxicity(spark, sf_dir):
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_embedding_dedup(spark, sf_dir):
+    """All rows of ``embeddings`` with their links at cosine 0.98 within a label."""
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_jaccard_join(spark, sf_dir):
     """All ``documents`` with their classes, links and components at 0.8."""
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
@@ -39,8 +44,8 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
 
 
 def oracle_sql():
-    return {"op4_jaccard_join": jaccard_join.oracle_sql(), "op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
+    return {"op3_embedding_dedup": multi_index.oracle_sql(), "op4_jaccard_join": jaccard_join.oracle_sql(), "op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}

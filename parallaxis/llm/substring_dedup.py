@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 new.append(kept.decode("utf-8", "surrogatepass") if b else given_text)
             yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["rest", "text", "n_words", "n_removed"])
 
-    out = marked.select("rest", "text", "spans").mapInArrow(rewrite, f"rest {row_type}, text string, n_words long, n_removed long")
+    out = marked.select("doc", "rest", "text", "spans").mapInArrow(rewrite, f"rest {row_type}, text string, n_words long, n_removed long")
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in given], "n_words", "n_removed")
 
 
