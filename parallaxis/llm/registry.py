@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
+from parallaxis.llm import hidden_markov, jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
 from parallaxis.llm.common import table
 
 
@@ -38,13 +38,18 @@ def op8_best_fit_packing(spark, sf_dir):
     return pattern_packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_hidden_markov(spark, sf_dir):
+    """Base and model log10 probability of every text of ``documents``."""
+    return hidden_markov.language_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark, sf_dir):
     """All ``documents`` mixed to the target weights of their sources."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op10_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op9_hidden_markov, op10_mixing)}
 
 
 def oracle_sql():
