@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import hidden_markov, jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
+from parallaxis.llm import hidden_markov, html_extraction, jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
 from parallaxis.llm.common import table
 
 
@@ -13,6 +13,11 @@ def op1_toxicity(spark, sf_dir):
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_html_extraction(spark, sf_dir):
+    """Main text of every row of ``pages``."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_embedding_dedup(spark, sf_dir):
     """All rows of ``embeddings`` with their links at cosine 0.98 within a label."""
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -49,7 +54,7 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op9_hidden_markov, op10_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op9_hidden_markov, op10_mixing)}
 
 
 def oracle_sql():
