@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parallaxis.llm import hidden_markov, html_extraction, jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity
+from parallaxis.llm import hidden_markov, html_extraction, jaccard_join, jpeg_media, mixing, multi_index, pattern_packing, substring_dedup, toxicity, url_filter
 from parallaxis.llm.common import table
 
 
@@ -28,6 +28,11 @@ def op4_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark, sf_dir):
+    """Rule or host verdict of every url of ``pages``."""
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_media_columns(spark, sf_dir):
     """Baseline JPEG media of every text of ``documents``."""
     return jpeg_media.media_columns(table(spark, sf_dir, "documents"))
@@ -54,8 +59,8 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_embedding_dedup, op4_jaccard_join, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op9_hidden_markov, op10_mixing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_embedding_dedup, op4_jaccard_join, op5_url_filter, op6_media_columns, op7_substring_dedup, op8_best_fit_packing, op9_hidden_markov, op10_mixing)}
 
 
 def oracle_sql():
-    return {"op3_embedding_dedup": multi_index.oracle_sql(), "op4_jaccard_join": jaccard_join.oracle_sql(), "op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
+    return {"op3_embedding_dedup": multi_index.oracle_sql(), "op4_jaccard_join": jaccard_join.oracle_sql(), "op5_url_filter": url_filter.oracle_sql(), "op7_substring_dedup": substring_dedup.oracle_sql(), "op10_mixing": mixing.oracle_sql()}
