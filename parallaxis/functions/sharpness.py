@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: BT.601 weights of blue, green, red.
 GRAY = (0.114, 0.587, 0.299)
@@ -25,7 +26,7 @@ def to_gray(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return np.rint(pixels[:, :, :3].astype(np.float64) @ np.array(GRAY)).astype(np.uint8)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sharpness(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.Series:
     """Score of ``image.data`` with its sizes; null for images that could not be read."""
     rows = zip(data, height, width, channels, strict=True)
