@@ -161,8 +161,9 @@ def cut_pieces(docs: DataFrame, id_col="doc_id", text_col="text", tokenizer_path
     return rows.mapInArrow(run, f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def enumerate_patterns(lengths: np.ndarray, most: int, slack: int = 6, triples: int = 24) -> list[tuple[int, ...]]:
-    """Patterns of one to four of these lengths that leave at most ``slack`` unused."""
+def enumerate_patterns(lengths: np.ndarray, most: int, slack: int | None = None, triples: int = 24) -> list[tuple[int, ...]]:
+    """Patterns of one to four of these lengths that leave at most ``slack`` unused (a 256th of a sequence, 6 at most)."""
+    slack = min(6, most // 256) if slack is None else slack
     have = np.zeros(most + 1, bool)
     have[lengths] = True
     best = np.where(have, np.arange(most + 1), 0)

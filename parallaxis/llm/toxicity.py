@@ -49,12 +49,19 @@ def features(texts: pa.Array):
 
 def train(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Places and weights that are not zero, and the bias. Rows count in the order given."""
-    document, place = features(texts)
-    rows = np.unique(document << BITS | place)
-    places = rows & ((1 << BITS) - 1)
+    parts, sizes = [], []
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 1 << 20):
+        document, place = features(part.column(0))
+        rows = np.unique(document << BITS | place)
+        parts.append((rows & ((1 << BITS) - 1)).astype(np.int32))
+        sizes.append(np.bincount(rows >> BITS, minlength=len(part)))
+    places = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.concatenate(sizes) if sizes else 0)
+    del parts
     common = (np.bincount(places, minlength=1 << BITS) >= LEAST)[places]
-    rows, places = rows[common], places[common]
-    cuts = np.searchsorted(rows >> BITS, np.arange(len(labels) + 1))
+    places = places[common]
+    cuts = np.searchsorted(owner[common], np.arange(len(labels) + 1))
+    del owner, common
     z, n, weight = np.zeros((3, (1 << BITS) + 1))
     for _ in range(PASSES):
         for k, label in enumerate(labels):
