@@ -45,7 +45,7 @@ def merge_clouds(chunks: list[tuple[dict, DataFrame]], margin: float = 0.0) -> t
     return union_strict(cropped), counts.withColumn("removed_pct", F.when(F.col("before") > 0, F.col("removed") * 100 / F.col("before")).otherwise(0.0))
 
 
-def track_offsets(points: DataFrame, order: str, length: str) -> DataFrame:
-    """Running end and start of each point's track in file order, for writers of one model's table."""
-    end = F.sum(length).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+def track_offsets(points: DataFrame, order: str, length: str, by: list[str] = ()) -> DataFrame:
+    """Running end and start of each point's track in file order, model by model (writers of one file need them)."""
+    end = F.sum(length).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return points.withColumn("track_end", end).withColumn("track_start", F.col("track_end") - F.col(length))

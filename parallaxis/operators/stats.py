@@ -80,8 +80,8 @@ def model_summary(images: DataFrame, points: DataFrame, tracks: DataFrame, model
     """Images, points and observations of each model; the primary one has most images, the first on a tie."""
     counts = [d.groupBy(model).agg(F.count("*").alias(n)) for d, n in ((images, "images"), (points, "points"), (tracks, "observations"))]
     rows = counts[0].join(counts[1], model, "full_outer").join(counts[2], model, "full_outer").na.fill(0)
-    best = rows.agg(F.max_by(model, F.struct("images", F.lit(0))).alias("_any"), F.max("images").alias("_most"))
-    first = rows.join(F.broadcast(best), rows["images"] == best["_most"]).agg(F.min(model).alias("_primary"))
+    most = rows.agg(F.max("images").alias("_most"))
+    first = rows.join(F.broadcast(most), F.col("images") == F.col("_most")).agg(F.min(model).alias("_primary"))
     return rows.join(F.broadcast(first)).withColumn("is_primary", F.col(model) == F.col("_primary")).drop("_primary")
 
 

@@ -510,3 +510,48 @@ def connected_components(spark, sf_dir):
     a = read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") + 1000000000).alias("dst"))
     b = read(spark, sf_dir, "lineitem").where("l_partkey % 40 = 0").select((F.col("l_orderkey") + 1000000000).alias("src"), (F.col("l_suppkey") + 2000000000).alias("dst"))
     return components.connected_components(a.unionByName(b))
+
+
+@query("select o_orderstatus, case when len(k) > 5 then array_to_string(k[1:5], ', ') || ' ... of ' || len(k) else array_to_string(k, ', ') end as examples from (select o_orderstatus, list_sort(list(distinct o_custkey::varchar)) as k from orders group by 1)")
+def issue_examples(spark, sf_dir):
+    return read(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(naming.first_examples(F.col("o_custkey").cast("string")).alias("examples"))
+
+
+@query("select box, warning from (select l_returnflag || l_linestatus as box, count(*) as points, count(distinct l_suppkey) as images from lineitem group by 1), (values ('too_many_points'), ('too_few_points'), ('too_many_images')) w(warning) where case warning when 'too_many_points' then points > 1200 when 'too_few_points' then points < 100 else images > 9 end")
+def box_budget(spark, sf_dir):
+    counts = read(spark, sf_dir, "lineitem").groupBy(F.concat("l_returnflag", "l_linestatus").alias("box")).agg(F.count("*").alias("points"), F.countDistinct("l_suppkey").alias("images"))
+    return spatial.box_warnings(counts, 1200, 9).select("box", "warning")
+
+
+@query("with c as (select event_id, event_type as folder, case event_type when 'click' then 2.5 when 'view' then 1.0 else 4.0 end as fps, (event_id % 20) / 4 as duration from events) select event_id, fps::double as fps, trunc(duration * fps)::bigint as expected_frames, case when event_id % 10 < 3 then 'skipped' else 'pending' end as state from c")
+def extract_plan(spark, sf_dir):
+    from parallaxis.plans.commands import plan_extraction
+
+    e = read(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    clips = e.select(number.alias("path"), F.concat("event_type", F.lit("/"), number, F.lit(".mp4")).alias("rel_path"), (F.col("event_id") % 20 / 4).alias("duration"))
+    rules = spark.createDataFrame([("click", 1, 2.5), ("view", 2, 1.0)], "path STRING, declared INT, fps DOUBLE")
+    done = e.where("event_id % 10 < 3").select(F.col("event_type").alias("out_dir"), number.alias("clip_stem"))
+    return plan_extraction(clips, rules, 4.0, done).select(F.col("path").cast("long").alias("event_id"), "fps", "expected_frames", "state")
+
+
+@query("select model, o_orderkey, sum(n) over (partition by model order by o_orderkey rows unbounded preceding)::bigint as track_end from (select o_orderstatus as model, o_orderkey, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey where o_orderkey % 50 = 0 group by all)")
+def track_offsets(spark, sf_dir):
+    points = read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderstatus").alias("model"), "o_orderkey")
+    lengths = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    rows = points.join(lengths, points["o_orderkey"] == lengths["l_orderkey"], "left").select("model", "o_orderkey", F.coalesce("n", F.lit(0)).alias("n"))
+    return clouds.track_offsets(rows, "o_orderkey", "n", ["model"]).select("model", "o_orderkey", "track_end")
+
+
+@query(_SUBSET + ", s as (select 'images' as \"table\", (select count(*) from supplier) as before, (select count(*) from supplier where s_suppkey % 3 <> 0) as after union all select 'points', (select count(distinct p) from t), (select count(distinct p) from live) union all select 'tracks', (select count(*) from t), (select count(*) from live)) select * from s")
+def subset_stats(spark, sf_dir):
+    tracks, images, points = _line_model(spark, sf_dir)
+    kept = subset.subset_tracks(tracks, images, points)
+    before = {"images": read(spark, sf_dir, "supplier"), "points": tracks.select("point3d_id").distinct(), "tracks": tracks}
+    return subset.subset_stats(before, {"images": images, "points": kept.select("point3d_id").distinct(), "tracks": kept})
+
+
+@query("select p_type, max(lpad(p_size::varchar, 4, '0') || p_name) as path from (select *, row_number() over (partition by p_type order by p_size desc, length(p_name) desc, p_name) as r from part) where r = 1 group by 1")
+def newest_file(spark, sf_dir):
+    rows = read(spark, sf_dir, "part").groupBy("p_type").agg(F.min(F.struct((-F.col("p_size")).alias("a"), (-F.length("p_name")).alias("b"), "p_name")).alias("m"))
+    return rows.select("p_type", F.concat(F.lpad((-F.col("m.a")).cast("string"), 4, "0"), F.col("m.p_name")).alias("path"))
