@@ -501,7 +501,15 @@ def copy_plan(spark, sf_dir):
 
 @query("select l_orderkey, l_linenumber, row_number() over (order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 as position from lineitem where l_quantity > 45")
 def global_positions(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").where("l_quantity > 45")
+    return _positions(read(spark, sf_dir, "lineitem").where("l_quantity > 45"))
+
+
+@query("select l_orderkey, l_linenumber, row_number() over (order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 as position from lineitem")
+def global_positions_whole(spark, sf_dir):
+    return _positions(read(spark, sf_dir, "lineitem"))
+
+
+def _positions(rows):
     return numbering.number_rows(rows, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")], "position").select("l_orderkey", "l_linenumber", "position")
 
 
@@ -537,7 +545,16 @@ def extract_plan(spark, sf_dir):
 
 @query("select model, o_orderkey, sum(n) over (partition by model order by o_orderkey rows unbounded preceding)::bigint as track_end from (select o_orderstatus as model, o_orderkey, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey where o_orderkey % 50 = 0 group by all)")
 def track_offsets(spark, sf_dir):
-    points = read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderstatus").alias("model"), "o_orderkey")
+    return _offsets(spark, sf_dir, read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0"))
+
+
+@query("select model, o_orderkey, sum(n) over (partition by model order by o_orderkey rows unbounded preceding)::bigint as track_end from (select o_orderstatus as model, o_orderkey, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey group by all)")
+def track_offsets_whole(spark, sf_dir):
+    return _offsets(spark, sf_dir, read(spark, sf_dir, "orders"))
+
+
+def _offsets(spark, sf_dir, orders):
+    points = orders.select(F.col("o_orderstatus").alias("model"), "o_orderkey")
     lengths = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
     rows = points.join(lengths, points["o_orderkey"] == lengths["l_orderkey"], "left").select("model", "o_orderkey", F.coalesce("n", F.lit(0)).alias("n"))
     return clouds.track_offsets(rows, "o_orderkey", "n", ["model"]).select("model", "o_orderkey", "track_end")

@@ -27,3 +27,25 @@ def test_query_equals_sql(spark, con, name):
     want = con.execute(f"select {', '.join(got.columns)} from ({catalog.oracle_sql()[name]})").fetchall()
     plain = lambda rows: sorted((tuple(round(x, 8) if isinstance(x, float) else x for x in r) for r in rows), key=repr)
     assert plain(got.collect()) == plain(want)
+
+
+@pytest.mark.parametrize("name, table", [("track_offsets_whole", "orders"), ("global_positions_whole", "lineitem")])
+def test_whole_tables_get_offsets_and_positions(spark, con, name, table):
+    got = catalog.queries()[name](spark, SF)
+    rows = sorted(map(tuple, got.collect()))
+    assert len(rows) == con.execute(f"select count(*) from {table}").fetchone()[0]
+    assert rows == sorted(con.execute(f"select {', '.join(got.columns)} from ({catalog.oracle_sql()[name]})").fetchall())
+
+
+def test_offsets_and_positions_of_a_small_fixture(spark, tmp_path):
+    orders = [(k, "FOP"[k % 3]) for k in range(1, 9)]
+    lines = [(k, n, float(k * n % 5), 1, 1, 10.0) for k in range(1, 8) for n in range(1, k % 4 + 1)]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_orderstatus STRING").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey LONG, l_linenumber INT, l_extendedprice DOUBLE, l_partkey LONG, l_suppkey LONG, l_quantity DOUBLE").write.parquet(f"{tmp_path}/lineitem.parquet")
+    ends, want = {}, []
+    for k, model in orders:
+        ends[model] = ends.get(model, 0) + sum(line[0] == k for line in lines)
+        want.append((model, k, ends[model]))
+    assert sorted(map(tuple, catalog.queries()["track_offsets_whole"](spark, tmp_path).collect())) == sorted(want)
+    ranked = sorted(lines, key=lambda x: (-x[2], *x[:2]))
+    assert sorted(map(tuple, catalog.queries()["global_positions_whole"](spark, tmp_path).collect())) == sorted((*x[:2], n) for n, x in enumerate(ranked))
