@@ -515,8 +515,17 @@ def _positions(rows):
 
 @query("with recursive e as (select o_custkey as s, o_orderkey + 1000000000 as d from orders where o_orderkey % 3 = 0 union all select l_orderkey + 1000000000, l_suppkey + 2000000000 from lineitem where l_partkey % 40 = 0), b as (select distinct s, d from e union select distinct d, s from e), reach(id, o) as (select distinct s, s from b union select r.id, b.d from reach r join b on b.s = r.o) select id, min(o) as component from reach group by id")
 def connected_components(spark, sf_dir):
-    a = read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") + 1000000000).alias("dst"))
-    b = read(spark, sf_dir, "lineitem").where("l_partkey % 40 = 0").select((F.col("l_orderkey") + 1000000000).alias("src"), (F.col("l_suppkey") + 2000000000).alias("dst"))
+    return _linked(read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0"), read(spark, sf_dir, "lineitem").where("l_partkey % 40 = 0"))
+
+
+@query("with recursive e as (select o_custkey as s, o_orderkey + 1000000000 as d from orders union all select l_orderkey + 1000000000, l_suppkey + 2000000000 from lineitem), b as materialized (select distinct s, d from e union select distinct d, s from e), reach(id, component) using key (id) as (select distinct s, s from b union select n.id, n.component from (select b.d as id, min(r.component) as component from reach r join b on b.s = r.id group by b.d) n join recurring.reach k on k.id = n.id where n.component < k.component) select id, component from reach")
+def connected_components_whole(spark, sf_dir):
+    return _linked(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem"))
+
+
+def _linked(orders, lines):
+    a = orders.select(F.col("o_custkey").alias("src"), (F.col("o_orderkey") + 1000000000).alias("dst"))
+    b = lines.select((F.col("l_orderkey") + 1000000000).alias("src"), (F.col("l_suppkey") + 2000000000).alias("dst"))
     return components.connected_components(a.unionByName(b))
 
 

@@ -49,3 +49,23 @@ def test_offsets_and_positions_of_a_small_fixture(spark, tmp_path):
     assert sorted(map(tuple, catalog.queries()["track_offsets_whole"](spark, tmp_path).collect())) == sorted(want)
     ranked = sorted(lines, key=lambda x: (-x[2], *x[:2]))
     assert sorted(map(tuple, catalog.queries()["global_positions_whole"](spark, tmp_path).collect())) == sorted((*x[:2], n) for n, x in enumerate(ranked))
+
+
+def test_components_of_whole_tables(spark, con, tmp_path):
+    query, sql = catalog.queries()["connected_components_whole"], catalog.oracle_sql()["connected_components_whole"]
+    got = sorted(map(tuple, query(spark, SF).collect()))
+    assert got == sorted(con.execute(f"select id, component from ({sql})").fetchall())
+    ends = "select o_custkey as v from orders union select o_orderkey + 1000000000 from orders union select l_orderkey + 1000000000 from lineitem union select l_suppkey + 2000000000 from lineitem"
+    assert [r[0] for r in got] == sorted(r[0] for r in con.execute(ends).fetchall())
+    # several components, an order without lines and lines without an order
+    orders = [(k, k % 7) for k in range(1, 30) if k % 5]
+    lines = [(k, 100 + k % 7 // 2, 1 + k) for k in range(1, 34) if k % 4]
+    spark.createDataFrame(orders, "o_orderkey LONG, o_custkey LONG").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey LONG, l_suppkey LONG, l_partkey LONG").write.parquet(f"{tmp_path}/lineitem.parquet")
+    edges = [(c, k + 10**9) for k, c in orders] + [(k + 10**9, s + 2 * 10**9) for k, s, _ in lines]
+    label = {v: v for e in edges for v in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    assert len(set(label.values())) > 1
+    assert sorted(map(tuple, query(spark, str(tmp_path)).collect())) == sorted(label.items())
