@@ -14,8 +14,10 @@ from parallaxis.runtime import cut_lineage
 
 #: (verdict, host, path): fits the host and its subdomains where the path starts so; the longest wins.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Share of a host's standing that follows links, and rounds of propagation.
+#: Share of a host's standing that follows links, and rounds of propagation that the SQL spells out.
 DAMPING, ROUNDS = 0.85, 8
+#: Propagation ends when what is still under way can change no verdict, or is less than this.
+TOLERANCE = 1e-9
 #: A host is blocked if its distrust exceeds its trust and that of a host with half of its pages blocked.
 LEAST = (1 - DAMPING) / 2
 
@@ -57,7 +59,10 @@ def standing(seeds: DataFrame, links: DataFrame) -> DataFrame:
 
     Trust follows links by the linking host's shares; distrust goes the other
     way, by the shares of each host's incoming links. What a host without
-    links would pass on is lost.
+    links would pass on is lost. Each round passes on what the last one
+    brought. All later rounds together bring no host more than the sum of the
+    last ``change`` times DAMPING / (1 - DAMPING); once no host's verdict
+    hangs on that, or it is under ``TOLERANCE``, the rounds end.
     """
     links = cut_lineage(links)
     start = seeds.select("host", F.explode(F.create_map(F.lit("trust"), F.col("trusted"), F.lit("distrust"), F.col("blocked"))).alias("kind", "seed")).where("seed > 0")
@@ -67,16 +72,34 @@ def standing(seeds: DataFrame, links: DataFrame) -> DataFrame:
         incoming = links.groupBy("dst").agg(F.sum("share").alias("total"))
         backwards = links.join(incoming, "dst").select(F.col("dst").alias("host"), F.lit("distrust").alias("kind"), F.col("src").alias("to"), (F.col("share") / F.col("total")).alias("share"))
         moves = cut_lineage(links.select(F.col("src").alias("host"), F.lit("trust").alias("kind"), F.col("dst").alias("to"), "share").unionByName(backwards))
-        base = rank
-        for step in range(ROUNDS):
-            passed = moves.join(rank, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("share") * F.col("rank") * DAMPING).alias("rank"))
-            rank = base.unionByName(passed).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
-            if step % 2:
-                rank = cut_lineage(rank)
+        rank = rank.withColumn("change", F.col("rank"))
+        while True:
+            for _ in range(2):
+                passed = moves.join(rank.where("change > 0"), ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("share") * F.col("change") * DAMPING).alias("rank"))
+                passed = passed.withColumn("change", F.col("rank"))
+                rank = rank.withColumn("change", F.lit(0.0)).unionByName(passed).groupBy("host", "kind").agg(F.sum("rank").alias("rank"), F.sum("change").alias("change"))
+            rank = cut_lineage(rank)
+            if _settled(rank):
+                break
+    return _by_kind(rank)
+
+
+def _by_kind(rank: DataFrame) -> DataFrame:
     value = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(value("trust"), value("distrust"))
 
 
+def _settled(rank: DataFrame) -> bool:
+    """Whether no later round can change a verdict, or only by less than ``TOLERANCE``."""
+    left = {r["kind"]: r["left"] * DAMPING / (1 - DAMPING) for r in rank.groupBy("kind").agg(F.sum("change").alias("left")).collect()}
+    trust, distrust = left.get("trust", 0.0), left.get("distrust", 0.0)
+    if max(trust, distrust) < TOLERANCE:
+        return True
+    now, limit = F.col("distrust"), F.greatest(F.col("trust"), F.lit(LEAST))
+    blocked = now > F.greatest(F.col("trust") + trust, F.lit(LEAST))
+    return _by_kind(rank).where(~blocked & (now + distrust > limit)).isEmpty()
+
+
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
     """One row per page: id, host, path, rule, verdict.
 
@@ -97,7 +120,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
 
 def oracle_sql(rules=RULES) -> str:
-    """The same in DuckDB SQL over ``pages``; rounds are spelled out."""
+    """The same in DuckDB SQL over ``pages``, but with ``ROUNDS`` rounds, spelled out, where ``standing`` runs to the limit."""
     ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1:], r[0]))
     fits = [f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')" for _, h, p in ordered]
     name = " ".join(f"when {f} then '{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True))

@@ -116,6 +116,34 @@ def test_urls_against_sql(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0 and jpeg_media.media_columns(pages.withColumnRenamed("url", "text").limit(0), "page_id").count() == 0
 
 
+def test_standing_is_the_limit_of_all_rounds(spark):
+    # a blocked fifth of example.com; it and b.io link to each other only, c1 - c2 - ... is a chain into a blocked host
+    a = lambda host: f'<a href="http://{host}/">x</a>'
+    rows = [("http://example.com/de/" if k == 0 else "http://example.com/x", a("b.io")) for k in range(5)] + [("http://b.io/", a("example.com"))]
+    rows += [("http://bad.net/", ""), ("http://c1.io/", a("bad.net"))] + [(f"http://c{k}.io/", a(f"c{k - 1}.io")) for k in range(2, 14)]
+    pages = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id LONG, url STRING, html STRING")
+    verdict = {r.host: r.verdict for r in url_filter.judge(pages).collect()}
+    assert verdict["b.io"] == "block"
+    host, _ = url_filter.host_and_path(url_filter.F.col("url"))
+    links = url_filter.host_links(pages.select(host.alias("host"), "html"), "host", "html").collect()
+    names = sorted({h for r in links for h in (r.src, r.dst)})
+    at = {h: k for k, h in enumerate(names)}
+    move = np.zeros((len(names), len(names)))
+    for r in links:
+        move[at[r.dst], at[r.src]] = r.share
+    back = np.divide(move, move.sum(1, keepdims=True), out=np.zeros_like(move), where=move.sum(1, keepdims=True) > 0).T
+    blocked = np.array([{"example.com": 0.2, "bad.net": 1.0}.get(h, 0.0) for h in names])
+    want = np.linalg.solve(np.eye(len(names)) - 0.85 * back, 0.15 * blocked)
+    for h in names:
+        # no allowed pages here, so the verdict hangs on distrust alone
+        assert verdict[h] == ("block" if want[at[h]] > url_filter.LEAST else "allow") or h == "example.com"
+    assert want[at["c9.io"]] < url_filter.LEAST < want[at["c4.io"]]
+    # with trust under way too, down a chain longer than eight links
+    seeds = spark.createDataFrame([("c13.io", 1.0, 0.0), ("bad.net", 0.0, 1.0)], "host STRING, trusted DOUBLE, blocked DOUBLE")
+    found = {r.host: r for r in url_filter.standing(seeds, spark.createDataFrame(links)).collect()}
+    assert abs(found["bad.net"].trust - 0.15 * 0.85**13) < 1e-9 and abs(found["c12.io"].distrust - 0.15 * 0.85**12) < 1e-9
+
+
 def test_registered_queries(spark):
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
