@@ -24,8 +24,6 @@ from parallaxis.llm.common import slices
 
 #: Hashed places of path parts and words, their embedding width, LSTM width.
 PATHS, WORDS, WIDTH, HIDDEN = 1024, 512, 12, 12
-#: Words of a block that serve as evidence, from its start and its end.
-EVIDENCE = 12
 #: Generated training pages, passes over them, pages a step.
 PAGES, PASSES, STEP = 360, 8, 24
 NUMBERS = 5
@@ -133,15 +131,17 @@ def blocks(page: str | None) -> list[tuple[str, tuple, int]]:
 
 
 def encode(found: list[tuple[str, tuple, int]], known: dict):
-    """Hashed path places, hashed word places and numbers of a page's blocks."""
+    """Hashed path places, hashed places of all words and numbers of a page's blocks; ``known`` keeps places of paths and words."""
     paths, words, numbers = [], [], []
     for text, path, linked in found:
         if path not in known:
             known[path] = np.array([place(p, PATHS) for p in path] or [0])
         paths.append(known[path])
         own = text.lower().split(" ")
-        some = own if len(own) <= 2 * EVIDENCE else own[:EVIDENCE] + own[-EVIDENCE:]
-        words.append(np.array([place(w, WORDS) for w in some]))
+        for w in own:
+            if w not in known:
+                known[w] = place(w, WORDS)
+        words.append(np.array([known[w] for w in own], np.int16))
         size = len(text)
         numbers.append((min(np.log1p(size) / 6, 2.0), min(linked / size, 1.0), text[-1] in ".!?…", min(text.count(",") / (len(own) or 1), 1.0), min(len(own) / 50, 2.0)))
     return paths, words, np.array(numbers, float).reshape(-1, NUMBERS)

@@ -281,6 +281,18 @@ def test_html_blocks_and_labels(spark):
     assert (1, "The title\n\nFirst one.\n\nSecond <two> link text, with more.", 57) in got and (2, "", 0) in got
 
 
+def test_every_word_of_a_block_is_evidence():
+    edge = " ".join(f"w{k}" for k in range(12))
+    known = {}
+    (_, (plain, told), _) = html_extraction.encode([(f"{edge} {'x ' * 9}{edge}", ("p",), 0), (f"{edge} {'x ' * 8}advert {edge}", ("p",), 0)], known)
+    assert len(plain) == len(told) == 33 and told[20] == html_extraction.place("advert", html_extraction.WORDS) != plain[20]
+    model = html_extraction.initial(np.random.default_rng(1))
+    path = [np.array([0])] * 2
+    out = html_extraction.vectors(model, path, [plain, told], np.zeros((2, html_extraction.NUMBERS)))
+    assert np.allclose(out[:, html_extraction.WIDTH : 2 * html_extraction.WIDTH], [model["word"][x].mean(0) for x in (plain, told)])
+    assert not np.allclose(out[0], out[1])
+
+
 def test_lstm_gradient_is_the_difference_quotient():
     rng = np.random.default_rng(2)
     model = html_extraction.initial(rng)
