@@ -29,12 +29,15 @@ PAGES, PASSES, STEP = 360, 8, 24
 NUMBERS = 5
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr nobr".split())
+#: Elements that stand within a line, with those of formulas and drawings: they don't end a block.
+INLINE |= frozenset("svg g path circle ellipse line rect polygon polyline defs use symbol text tspan math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mpadded mphantom semantics annotation object canvas audio video iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video")
+#: Elements whose inside is no text of the page; all others are left to the labeller.
+RAW = ("script", "style", "template")
 #: What a start tag ends when it is open (fixed rules of the HTML syntax).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li td tr".split())
-PARTS = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|([^<]+|<)", re.S | re.I)
+PARTS = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|([^<]+|<)", re.S | re.I)
 NAMES = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 

@@ -281,6 +281,15 @@ def test_html_blocks_and_labels(spark):
     assert (1, "The title\n\nFirst one.\n\nSecond <two> link text, with more.", 57) in got and (2, "", 0) in got
 
 
+def test_only_scripts_styles_and_templates_are_dropped():
+    texts = lambda page: [t for t, _, _ in html_extraction.blocks(page)]
+    assert texts('<p>One <svg class="i"/> two.</p><p>Three <svg viewBox="0"><path d="M0"/><text>icon</text></svg> four.') == ["One two.", "Three icon four."]
+    assert texts("<video-player src=x></video-player><p>One.</p><script-loader></script-loader><p>Two.") == ["One.", "Two."]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><object><p>Held.</p></object><noscript><p>Plain.</p></noscript><p>End.") == ["Let x=1 be.", "Held.", "Plain.", "End."]
+    assert texts("<iframe src=x><p>One.<canvas><p>Two.<audio><p>Three.") == ["One.", "Two.", "Three."]
+    assert texts('<p>One.<script type="a">"<p>no"</script x><style>p{}</style ><template><p>no</template><p>Two.<script>no') == ["One.", "Two."]
+
+
 def test_every_word_of_a_block_is_evidence():
     edge = " ".join(f"w{k}" for k in range(12))
     known = {}
