@@ -431,7 +431,7 @@ def dbscan_labels(spark, sf_dir):
 
 @query()
 def kmeans_partition(spark, sf_dir):
-    return cluster.kmeans(_xyz(spark, sf_dir), 4, "vec_id", starts=2)
+    return cluster.kmeans(_xyz(spark, sf_dir), 4, "vec_id")
 
 
 @query()

@@ -69,3 +69,14 @@ def test_components_of_whole_tables(spark, con, tmp_path):
             label[a] = label[b] = min(label[a], label[b])
     assert len(set(label.values())) > 1
     assert sorted(map(tuple, query(spark, str(tmp_path)).collect())) == sorted(label.items())
+
+
+def test_kmeans_partition_takes_the_best_of_ten_starts(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    fit, models = KMeans.fit, []
+    monkeypatch.setattr(KMeans, "fit", lambda *a: models.append(fit(*a)) or models[-1])
+    got = {r.id: r.label for r in catalog.queries()["kmeans_partition"](spark, SF).collect()}
+    assert len(models) == 10
+    best = min(models, key=lambda m: m.summary.trainingCost)
+    assert got == {r.id: r.prediction for r in best.summary.predictions.collect()}
