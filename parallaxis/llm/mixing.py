@@ -3,7 +3,8 @@
 The words of each source, in a fixed pseudorandom order of its documents, are
 packed into blocks of a fixed length. Each source owns as many slots as its
 target needs; every slot falls to an output shard at random, so a shard's
-counts by source are a multinomial draw whose totals are exact. Slots map to
+counts by source are a multinomial draw whose totals are exact;
+``mixed_documents`` returns the shards where they are asked for. Slots map to
 blocks through a pseudorandom permutation of the source's block numbers
 (swap-or-not rounds, a bijection on any range), once for each pass over the
 source, and blocks are joined by number. A source's last slot may be partial.
@@ -103,12 +104,12 @@ def place(docs: DataFrame, targets: DataFrame, id_col: str, source_col: str = "s
 
 
 def _overlaps(placed: DataFrame, slots: DataFrame) -> DataFrame:
-    """Each stretch of a document that a slot takes: s, at, pass, first word and words, from the document's start."""
+    """Each stretch of a document that a slot takes: s, at, pass, shard, first word and words, from the document's start."""
     spans = placed.where("size > 0").select("s", "at", "size")
     spans = spans.withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / BLOCK), F.floor((F.col("at") + F.col("size") - 1) / BLOCK))))
-    joined = spans.join(slots.select("s", "pass", "block", "words").hint("merge"), ["s", "block"])
+    joined = spans.join(slots.select("s", "pass", "shard", "block", "words").hint("merge"), ["s", "block"])
     begin, end = F.greatest(F.col("at"), F.col("block") * BLOCK), F.least(F.col("at") + F.col("size"), F.col("block") * BLOCK + F.col("words"))
-    return joined.select("s", "at", "pass", (begin - F.col("at")).alias("first"), (end - begin).alias("taken")).where("taken > 0")
+    return joined.select("s", "at", "pass", "shard", (begin - F.col("at")).alias("first"), (end - begin).alias("taken")).where("taken > 0")
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -131,12 +132,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return out.select(id_col, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_col: str | None = None) -> DataFrame:
     """The mix as documents: one row for each pass over a document, with the words taken, all other columns kept.
 
     Words are joined by one space. Where blocks take two separate stretches
     of a document in one pass, they are joined in order. A column
-    ``n_chars``, where there is one, is the new text's length.
+    ``n_chars``, where there is one, is the new text's length. With
+    ``shard_col`` there is a row for each output shard too, whose number that
+    further column holds: what a shard takes of a pass over a document.
     """
     given = docs.columns
     sized = cut_lineage(_sized(docs, id_col, text_col, source_col))
@@ -144,12 +147,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     numbered = docs.select(F.struct(*[F.col(c) for c in given]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     placed = place(numbered, targets, "id")
     narrow = place(sized, targets, id_col)
-    stretches = _overlaps(narrow, draw_slots(targets)).groupBy("s", "at", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "taken"))).alias("parts"))
+    key = ["s", "at", "pass"] + (["shard"] if shard_col else [])
+    stretches = _overlaps(narrow, draw_slots(targets)).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("first", "taken"))).alias("parts"))
     words = F.regexp_extract_all(F.col(f"row.{text_col}"), F.lit(WORD), F.lit(0))
     cut = F.flatten(F.transform("parts", lambda p: F.slice("words", p["first"].cast("int") + 1, p["taken"].cast("int"))))
     out = placed.join(stretches, ["s", "at"]).withColumn("words", words).withColumn("new", F.array_join(cut, " "))
     columns = [F.col("new").alias(c) if c == text_col else F.length("new").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("row")[c].alias(c) for c in given]
-    return out.select(*columns)
+    return out.select(*columns, *([F.col("shard").alias(shard_col)] if shard_col else []))
 
 
 def oracle_sql() -> str:

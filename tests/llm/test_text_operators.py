@@ -142,6 +142,28 @@ def test_mix_meets_targets_and_documents_follow(spark, docs):
     assert sum(len(words(r.text)) for r in new) == sum(r.taken for r in got) and all(r["size"] in ("clash", None) for r in new)
 
 
+def test_mix_deals_documents_to_output_shards(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 4)
+    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    targets = mixing.source_targets(sized)
+    drawn = mixing.draw_slots(targets).join(targets.select("s", "source"), "s").collect()
+    want, slots = Counter(), Counter()
+    for r in drawn:
+        want[r.shard, r.source] += r.words
+        slots[r.shard] += 1
+    shards = math.ceil(sum(math.floor(r.target + 0.5) for r in targets.collect()) / (mixing.BLOCK * 4))
+    assert 1 < len(slots) <= shards and max(slots) < shards
+    got, whole = Counter(), Counter()
+    for r in mixing.mixed_documents(docs, shard_col="shard").collect():
+        got[r.shard, r.source] += len(words(r.text))
+        whole[r.doc_id, r.source] += len(words(r.text))
+    assert got == want
+    plain = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        plain[r.doc_id, r.source] += len(words(r.text))
+    assert whole == plain
+
+
 def test_permutation_is_a_bijection(spark):
     rows = spark.range(0, 1000).select(F.lit(3).cast("long").alias("s"), F.lit(1).cast("long").alias("pass"), F.lit(1000).cast("long").alias("n"), F.col("id").alias("slot"))
     there = mixing.permute(rows, "slot", "block", "n")
