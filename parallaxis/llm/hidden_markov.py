@@ -9,8 +9,9 @@ classes of their own, other words share ``SHARED`` hashed classes and have
 their add-one share of their class.
 
 States start from expectation-maximisation on at most ``SEED_ROWS`` training
-texts; then each of ``ROUNDS`` rounds runs scaled forward-backward over every
-training text, and the partitions' expected counts are summed by Spark.
+texts; then each round runs scaled forward-backward over every training text,
+and the partitions' expected counts are summed by Spark, until a round raises
+the log-likelihood by no more than ``TOLERANCE`` of itself.
 Scoring is the scaled forward recursion over the whole text: the exact
 probability, not a bound or a best path.
 """
@@ -28,7 +29,7 @@ from parallaxis.llm.toxicity import held_out
 from parallaxis.runtime import cut_lineage
 
 STATES, OWN, SHARED, HEAD = 12, 8192, 256, 1 << 18
-SEED_ROWS, SEED_ROUNDS, ROUNDS = 512, 12, 3
+SEED_ROWS, SEED_ROUNDS, TOLERANCE = 512, 12, 1e-4
 #: Tokens of a batch that run in lock step.
 TOKENS = 1 << 18
 
@@ -124,8 +125,13 @@ def forward(model, active, observed, keep: bool = False):
 
 def expected_counts(model, active, observed, classes: int):
     """Expected starts, moves and emissions of a lock-step group."""
+    return _expected(model, active, observed, classes)[1:]
+
+
+def _expected(model, active, observed, classes: int):
+    """The log-likelihood of a lock-step group before its expected counts."""
     _, move, _ = model
-    _, seen, kept, scales = forward(model, active, observed, keep=True)
+    total, seen, kept, scales = forward(model, active, observed, keep=True)
     states = len(move)
     moves = np.zeros((states, states))
     weights = np.empty((len(observed), states))
@@ -141,7 +147,7 @@ def expected_counts(model, active, observed, classes: int):
         weights[edge[t] : edge[t + 1]] = kept[t] * back
         after = seen[edge[t] : edge[t + 1]] * back / scales[t][:, None]
     emitted = np.stack([np.bincount(observed, weights[:, s], classes) for s in range(states)], 1)
-    return weights[: active[0]].sum(0), moves * move, emitted
+    return total.sum(), weights[: active[0]].sum(0), moves * move, emitted
 
 
 def maximise(starts, moves, emitted, prior) -> tuple:
@@ -282,26 +288,31 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
         model = seed_model([], words.classes, prior)
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     names = [f"g{s}" for s in range(STATES)]
-    for _ in range(ROUNDS):
+    size, last = words.classes + STATES + 2, -np.inf
+    while True:
 
         def expect(batches, model=model):
-            sums = np.zeros((words.classes + STATES + 1, STATES))
+            sums = np.zeros((size, STATES))
             for whole in batches:
                 for batch in slices(whole, "text"):
                     for _, active, observed in _groups(batch.column("text"), words):
-                        starts, moves, emitted = expected_counts(model, active, observed, words.classes)
+                        likelihood, starts, moves, emitted = _expected(model, active, observed, words.classes)
                         sums[: words.classes] += emitted
-                        sums[words.classes : -1] += moves
-                        sums[-1] += starts
+                        sums[words.classes : -2] += moves
+                        sums[-2] += starts
+                        sums[-1, 0] += likelihood
             live = np.flatnonzero(sums.any(1))
             yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), *(pa.array(sums[live, s]) for s in range(STATES))], names=["k", *names])
 
         counted = rows.mapInArrow(expect, "k int, " + ", ".join(f"{n} double" for n in names)).groupBy("k").agg(*(F.sum(n).alias(n) for n in names)).collect()
-        sums = np.zeros((words.classes + STATES + 1, STATES))
+        sums = np.zeros((size, STATES))
         for r in counted:
             sums[r["k"]] = r[1:]
-        model = maximise(sums[-1], sums[words.classes : -1], sums[: words.classes], prior)
-    return model
+        model = maximise(sums[-2], sums[words.classes : -2], sums[: words.classes], prior)
+        likelihood = sums[-1, 0]
+        if likelihood - last <= TOLERANCE * abs(likelihood):
+            return model
+        last = likelihood
 
 
 def _score(words: Lexicon, model, shards: int):

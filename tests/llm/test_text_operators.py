@@ -243,6 +243,24 @@ def test_language_model_scores(spark, docs):
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
 
 
+def test_training_goes_on_until_the_likelihood_settles(spark):
+    rnd = random.Random(8)
+    topics = [[f"{t}{k}" for k in range(60)] for t in "abcdefgh"]
+    rows = [(k, " ".join(rnd.choice(topics[(k + j // 6) % 8]) for j in range(60))) for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    lexicon = hidden_markov.lexicon(hidden_markov.count_words(docs))
+    model = hidden_markov.train(docs, lexicon, "doc_id", "text")
+    prior = np.zeros(lexicon.classes)
+    prior[0], prior[lexicon.own[lexicon.own > 0]] = lexicon.texts, lexicon.counts[lexicon.own > 0]
+    prior[1 + hidden_markov.OWN :] = lexicon.shared_total
+    prior = (prior + 0.01) / (prior + 0.01).sum()
+    groups = list(hidden_markov._groups(pa.array([t for _, t in rows]), lexicon))
+    likelihood = lambda m: sum(hidden_markov.forward(m, active, observed)[0].sum() for _, active, observed in groups)
+    sums = [sum(x) for x in zip(*(hidden_markov.expected_counts(model, active, observed, lexicon.classes) for _, active, observed in groups), strict=True)]
+    before, after = likelihood(model), likelihood(hidden_markov.maximise(*sums, prior))
+    assert after - before <= 1e-4 * abs(after)
+
+
 def test_forward_equals_summing_all_paths():
     rng = np.random.default_rng(4)
     first, move, emit = rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 5, 3).T
