@@ -6,6 +6,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +19,23 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def number(docs: DataFrame, id_col: str) -> Column:
+    """Ids as 64-bit numbers: whole numbers as they are, others by the hash of their text; null stays null."""
+    if isinstance(docs.schema[id_col].dataType, IntegralType):
+        return F.col(id_col).cast("long")
+    return F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col).cast("string")))
+
+
+def name_again(out: DataFrame, docs: DataFrame, id_col: str, number_col: str) -> DataFrame:
+    """``out`` with the ids of ``docs``, named ``id_col``, in place of the numbers of ``number_col``."""
+    rest = [c for c in out.columns if c != number_col]
+    field = docs.schema[id_col].dataType
+    if isinstance(field, IntegralType):
+        return out.select(F.col(number_col).cast(field).alias(id_col), *rest)
+    names = docs.where(F.col(id_col).isNotNull()).groupBy(number(docs, id_col).alias("_number")).agg(F.min(id_col).alias("_name"))
+    return out.join(names, out[number_col] == names["_number"], "left").select(F.col("_name").alias(id_col), *rest)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20):
     """Cut a batch into slices of about ``most_bytes`` of ``column``; longer values come alone."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)

@@ -4,34 +4,49 @@ Counts of all training words are taken over the whole corpus, sharded by word
 hash. Words of high count (at most ``HEAD``; the count that bounds them is
 read off the histogram of counts) are sent to the executors; the counts of
 all rarer words stay sharded, and rare words of a text visit them there, so
-no word loses its exact count. The ``OWN`` most frequent words are emission
-classes of their own, other words share ``SHARED`` hashed classes and have
-their add-one share of their class.
-
-States start from expectation-maximisation on at most ``SEED_ROWS`` training
-texts; then each round runs scaled forward-backward over every training text,
-and the partitions' expected counts are summed by Spark, until a round raises
-the log-likelihood by no more than ``TOLERANCE`` of itself.
-Scoring is the scaled forward recursion over the whole text: the exact
-probability, not a bound or a best path.
+no word loses its exact count. The most frequent words are emission classes
+of their own, one for each ``PER_OWN`` distinct words; the others share
+hashed classes, one for each ``PER_SHARED`` distinct words, and have their
+add-one share of their class. Both numbers grow with the vocabulary, up to
+what a table that every executor holds may have (``MOST_OWN``,
+``MOST_SHARED``).
+
+Training texts are written once as class numbers, laid out for the
+recursions. States start from expectation-maximisation on at most
+``SEED_ROWS`` texts, go on over every sixteenth text (by hashed id), and then
+over all training texts: each round runs scaled forward-backward over every
+text, and the partitions' expected counts are summed by Spark, until a round
+raises the log-likelihood by no more than ``TOLERANCE`` of itself. Scoring is
+the scaled forward recursion over the whole text in double precision: the
+exact probability, not a bound or a best path.
+
+A text of n words is trained on in one piece, at about 120 n bytes; scoring
+keeps no states, so it takes about 20 n.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallaxis.llm.common import hash_words, slices, split_words
+from parallaxis.llm.common import hash_words, name_again, number, slices, split_words
 from parallaxis.llm.toxicity import held_out
 from parallaxis.runtime import cut_lineage
 
-STATES, OWN, SHARED, HEAD = 12, 8192, 256, 1 << 18
+STATES, HEAD = 12, 1 << 18
+#: Classes of single words: at least, at most, and distinct words for each.
+OWN, MOST_OWN, PER_OWN = 8192, 57_344, 128
+#: Shared classes, powers of two: at least, at most, and distinct words for each.
+SHARED, MOST_SHARED, PER_SHARED = 256, 4096, 4096
 SEED_ROWS, SEED_ROUNDS, TOLERANCE = 512, 12, 1e-4
-#: Tokens of a batch that run in lock step.
-TOKENS = 1 << 18
+#: One text in so many, by hashed id, is in the rounds before those over all.
+EARLY = 16
+#: Tokens of a batch that run in lock step, and classes of a row of expected counts.
+TOKENS, ROW = 1 << 19, 4096
 
 
 def tokens(texts: pa.Array):
@@ -43,18 +58,35 @@ def tokens(texts: pa.Array):
 class Lexicon:
     """What an executor knows of words: counts of the frequent ones, and every word's class.
 
-    Class 0 is the end of a text, 1..OWN the most frequent words, then come the shared classes.
+    Class 0 is the end of a text, then come the most frequent words and the
+    shared classes. ``shared_total`` and ``shared_distinct`` are given by
+    residue modulo ``MOST_SHARED`` over all words.
     """
 
     def __init__(self, head: np.ndarray, counts: np.ndarray, texts: int, total: int, distinct: int, shared_total: np.ndarray, shared_distinct: np.ndarray):
-        top = np.lexsort((head, -counts))[:OWN]
+        most = min(MOST_OWN, max(OWN, distinct // PER_OWN))
+        top = np.lexsort((head, -counts))[:most]
         own = np.zeros(len(head), np.int32)
         own[top] = np.arange(1, len(top) + 1)
         order = np.argsort(head)
         self.head, self.counts, self.own = head[order], counts[order], own[order]
         self.texts, self.total, self.distinct = texts, total, distinct
-        self.shared_total, self.shared_distinct = shared_total, shared_distinct
-        self.classes = 1 + OWN + SHARED
+        self.owned = len(top)
+        self.pooled = SHARED
+        while self.pooled < min(MOST_SHARED, distinct / PER_SHARED):
+            self.pooled *= 2
+        # words that are classes of their own leave the shared classes
+        of_own = self.shared(self.head[self.own > 0]) - 1 - self.owned
+        fold = lambda x: np.asarray(x, np.int64).reshape(-1, self.pooled).sum(0)
+        self.shared_total = fold(shared_total) - np.bincount(of_own, self.counts[self.own > 0], self.pooled).astype(np.int64)
+        self.shared_distinct = fold(shared_distinct) - np.bincount(of_own, minlength=self.pooled)
+        self.classes = 1 + self.owned + self.pooled
+
+    def prior(self) -> np.ndarray:
+        """Share of all training tokens of each class, never 0."""
+        found = np.concatenate([[self.texts], np.zeros(self.owned), self.shared_total]) + 0.01
+        found[self.own[self.own > 0]] += self.counts[self.own > 0]
+        return found / found.sum()
 
     def look_up(self, hashes: np.ndarray):
         """``(count, class)`` of words; the count is -1 where only the shards know it."""
@@ -65,13 +97,12 @@ class Lexicon:
         count = np.where(known, self.counts[at], -1)
         return count, np.where(known & (self.own[at] > 0), self.own[at], self.shared(hashes))
 
-    @staticmethod
-    def shared(hashes: np.ndarray) -> np.ndarray:
-        return 1 + OWN + (hashes % np.uint64(SHARED)).astype(np.int32)
+    def shared(self, hashes: np.ndarray) -> np.ndarray:
+        return 1 + self.owned + (hashes % np.uint64(self.pooled)).astype(np.int32)
 
     def within(self, count: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """log10 of a word's share of its class."""
-        k = kind - 1 - OWN
+        k = kind - 1 - self.owned
         pooled = k >= 0
         size = np.where(pooled, (self.shared_total + self.shared_distinct)[np.maximum(k, 0)] + 1, 1)
         return np.where(pooled, np.log10((count + 1) / size), 0.0)
@@ -104,50 +135,63 @@ def lock_step(offsets: np.ndarray, kinds: np.ndarray):
         start = stop
 
 
-def forward(model, active, observed, keep: bool = False):
-    """log of the probability of each text, and with ``keep`` all scaled states and scales."""
+def forward(model, active, observed):
+    """log of the probability of each text; no more than one step's states are kept."""
     first, move, emit = model
-    seen = emit[observed]
+    turn = np.ascontiguousarray(move.T)
+    rows = np.ascontiguousarray(emit.T)
     total = np.zeros(active[0])
-    kept, scales, at = [], [], 0
-    state = None
-    for n in active.tolist():
-        state = (first if state is None else state[:n] @ move) * seen[at : at + n]
-        scale = state.sum(1)
-        state = state / scale[:, None]
+    edge = np.concatenate([[0], np.cumsum(active)])
+    state, seen, begin, end = None, None, 0, 0
+    for a, n in zip(edge[:-1].tolist(), active.tolist(), strict=True):
+        if a >= end:  # emissions of the next steps, about 2**16 tokens of them
+            begin, end = a, int(edge[np.searchsorted(edge, a + max(n, 1 << 16), side="right") - 1])
+            seen = np.take(rows, observed[begin:end].astype(np.intp), 1)
+        state = np.repeat(first[:, None], n, 1) if state is None else turn @ state[:, :n]
+        state *= seen[:, a - begin : a - begin + n]
+        scale = state.sum(0)
+        state /= scale
         total[:n] += np.log(scale)
-        if keep:
-            kept.append(state)
-            scales.append(scale)
-        at += n
-    return total, seen, kept, scales
+    return total
 
 
 def expected_counts(model, active, observed, classes: int):
-    """Expected starts, moves and emissions of a lock-step group."""
-    return _expected(model, active, observed, classes)[1:]
-
+    """Expected starts, moves and emissions of a lock-step group, and its log-likelihood.
 
-def _expected(model, active, observed, classes: int):
-    """The log-likelihood of a lock-step group before its expected counts."""
-    _, move, _ = model
-    total, seen, kept, scales = forward(model, active, observed, keep=True)
-    states = len(move)
+    States are rows and texts columns, so every operation runs along the
+    texts; the precision is that of the model's arrays.
+    """
+    first, move, emit = model
+    states, n_tokens = len(move), len(observed)
+    observed = observed.astype(np.intp)
+    seen = np.take(np.ascontiguousarray(emit.T), observed, 1)
+    turn = np.ascontiguousarray(move.T)
+    edge = np.concatenate([[0], np.cumsum(active)]).tolist()
+    state, scales = np.empty_like(seen), np.empty(n_tokens, seen.dtype)
+    for t, n in enumerate(active.tolist()):
+        now = state[:, edge[t] : edge[t + 1]]
+        if t:
+            np.matmul(turn, state[:, edge[t - 1] : edge[t - 1] + n], out=now)
+        else:
+            now[:] = first[:, None]
+        now *= seen[:, edge[t] : edge[t + 1]]
+        scale = now.sum(0)
+        now /= scale
+        scales[edge[t] : edge[t + 1]] = scale
     moves = np.zeros((states, states))
-    weights = np.empty((len(observed), states))
-    edge = np.concatenate([[0], np.cumsum(active)])
     after = None
     for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        back = np.ones((n, states))
+        now, ahead = state[:, edge[t] : edge[t + 1]], seen[:, edge[t] : edge[t + 1]]
         if after is not None:
-            m = len(after)
-            moves += kept[t][:m].T @ after
-            back[:m] = after @ move.T
-        weights[edge[t] : edge[t + 1]] = kept[t] * back
-        after = seen[edge[t] : edge[t + 1]] * back / scales[t][:, None]
-    emitted = np.stack([np.bincount(observed, weights[:, s], classes) for s in range(states)], 1)
-    return total.sum(), weights[: active[0]].sum(0), moves * move, emitted
+            m = after.shape[1]
+            moves += now[:, :m] @ after.T
+            back = move @ after
+            now[:, :m] *= back  # what remains of the states is their probability given the whole text
+            ahead[:, :m] *= back
+        ahead /= scales[edge[t] : edge[t + 1]]
+        after = ahead
+    emitted = np.stack([np.bincount(observed, state[s], classes) for s in range(states)], 1)
+    return state[:, : active[0]].sum(1, dtype=np.float64), moves * move, emitted, float(np.log(scales, dtype=np.float64).sum())
 
 
 def maximise(starts, moves, emitted, prior) -> tuple:
@@ -168,7 +212,7 @@ def seed_model(groups: list, classes: int, prior: np.ndarray, states: int = STAT
     for _ in range(SEED_ROUNDS):
         sums = [np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))]
         for _, active, observed in groups:
-            for total, part in zip(sums, expected_counts(model, active, observed, classes), strict=True):
+            for total, part in zip(sums, expected_counts(model, active, observed, classes)[:3], strict=True):
                 total += part
         model = maximise(*sums, prior)
     return model
@@ -214,9 +258,9 @@ def _merge_counts(table: pa.Table) -> pa.Table:
     counts = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist()])
     found, back = np.unique(hashes, return_inverse=True)
     total = np.bincount(back, counts, len(found)).astype(np.int64)
-    own = Lexicon.shared(found) - 1 - OWN
+    own = (found % np.uint64(MOST_SHARED)).astype(np.int64)
     sizes, times = np.unique(total, return_counts=True)
-    return pa.table([table.column("shard")[:1], pa.array([found.tobytes()]), pa.array([total.tobytes()]), pa.array([int(np.sum(table.column("texts").to_numpy()))]), pa.array([int(total.sum())]), pa.array([len(found)]), pa.array([sizes.tobytes()]), pa.array([times.tobytes()]), pa.array([np.bincount(own, total, SHARED).astype(np.int64).tobytes()]), pa.array([np.bincount(own, minlength=SHARED).tobytes()])], names=["shard", "hashes", "counts", "texts", "total", "words", "sizes", "times", "shared_total", "shared_words"])
+    return pa.table([table.column("shard")[:1], pa.array([found.tobytes()]), pa.array([total.tobytes()]), pa.array([int(np.sum(table.column("texts").to_numpy()))]), pa.array([int(total.sum())]), pa.array([len(found)]), pa.array([sizes.tobytes()]), pa.array([times.tobytes()]), pa.array([np.bincount(own, total, MOST_SHARED).astype(np.int64).tobytes()]), pa.array([np.bincount(own, minlength=MOST_SHARED).tobytes()])], names=["shard", "hashes", "counts", "texts", "total", "words", "sizes", "times", "shared_total", "shared_words"])
 
 
 def count_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -250,14 +294,8 @@ def lexicon(counted: DataFrame) -> Lexicon:
 
     head = counted.select("hashes", "counts").mapInArrow(frequent, "hashes binary, counts binary").collect()
     join = lambda k, kind: np.concatenate([np.frombuffer(r[k], kind) for r in head]) if head else np.zeros(0, kind)
-    add = lambda k: sum((np.frombuffer(r[k], np.int64) for r in rows), np.zeros(SHARED, np.int64))
-    hashes, counts = join("hashes", np.uint64), join("counts", np.int64)
-    found = Lexicon(hashes, counts, texts, sum(r["total"] for r in rows) + texts, sum(r["words"] for r in rows) + (texts > 0), np.zeros(SHARED), np.zeros(SHARED))
-    # words that are classes of their own leave the shared classes
-    of_own = Lexicon.shared(found.head[found.own > 0]) - 1 - OWN
-    found.shared_total = add("shared_total") - np.bincount(of_own, found.counts[found.own > 0], SHARED)
-    found.shared_distinct = add("shared_words") - np.bincount(of_own, minlength=SHARED)
-    return found
+    add = lambda k: sum((np.frombuffer(r[k], np.int64) for r in rows), np.zeros(MOST_SHARED, np.int64))
+    return Lexicon(join("hashes", np.uint64), join("counts", np.int64), texts, sum(r["total"] for r in rows) + texts, sum(r["words"] for r in rows) + (texts > 0), add("shared_total"), add("shared_words"))
 
 
 def _groups(texts: pa.Array, words: Lexicon):
@@ -266,13 +304,62 @@ def _groups(texts: pa.Array, words: Lexicon):
     return lock_step(offsets, kinds[codes] if len(codes) else np.zeros(0, np.int32))
 
 
+def encode(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> DataFrame:
+    """Training texts as class numbers in lock-step groups: (early, active, observed), written once."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, "text", 12 << 20):
+                for early in (True, False):
+                    part = batch.filter(pc.equal(batch.column("early"), early))
+                    found = [(active.astype("<i4").tobytes(), observed.astype("<u2").tobytes()) for _, active, observed in _groups(part.column("text"), words)]
+                    if found:
+                        active, observed = zip(*found, strict=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([early] * len(found)), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["early", "active", "observed"])
+
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), (F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(EARLY)) == 0).alias("early"))
+    return cut_lineage(rows.mapInArrow(run, "early boolean, active binary, observed binary"))
+
+
+def _count(encoded: DataFrame, words: Lexicon, model) -> tuple:
+    """Expected starts, moves and emissions of all groups, and their log-likelihood.
+
+    A partition sends its sums in rows of ``ROW`` classes, in single precision.
+    """
+    # a row of other sums comes first: starts, moves, likelihood
+    light = tuple(np.asarray(x, np.float32) for x in model)
+    classes = words.classes
+
+    def expect(batches):
+        emitted, other = np.zeros((classes, STATES)), np.zeros((STATES + 2, STATES))
+        for batch in batches:
+            for active, observed in zip(batch.column("active"), batch.column("observed"), strict=True):
+                starts, moves, seen, likelihood = expected_counts(light, np.frombuffer(active.as_py(), "<i4"), np.frombuffer(observed.as_py(), "<u2"), classes)
+                emitted += seen
+                other[0] += starts
+                other[1:-1] += moves
+                other[-1, 0] += likelihood
+        if other.any():
+            rows = [other.tobytes()] + [emitted[k : k + ROW].astype("<f4").tobytes() for k in range(0, classes, ROW)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array(rows, pa.binary())], names=["row", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        row = table.column("row")[0].as_py()
+        parts = sorted(table.column("sums").to_pylist())  # one order, one rounding
+        total = sum(np.frombuffer(x, "<f4" if row else "<f8").astype(np.float64) for x in parts)
+        return pa.table([pa.array([row], pa.int32()), pa.array([total.tobytes()])], names=["row", "sums"])
+
+    sent = encoded.select("active", "observed").mapInArrow(expect, "row int, sums binary")
+    found = {r["row"]: np.frombuffer(r["sums"]) for r in sent.groupBy("row").applyInArrow(add, "row int, sums binary").collect()}
+    if not found:
+        return np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((classes, STATES)), 0.0
+    other = found.pop(0).reshape(-1, STATES)
+    return other[0], other[1:-1], np.concatenate([found[k] for k in sorted(found)]).reshape(-1, STATES), float(other[-1, 0])
+
+
 def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
     """Baum-Welch over all rows of ``docs``: (first, moves, emissions)."""
-    prior = np.zeros(words.classes)
-    prior[0] = words.texts
-    prior[words.own[words.own > 0]] = words.counts[words.own > 0]
-    prior[1 + OWN :] = words.shared_total
-    prior = (prior + 0.01) / (prior + 0.01).sum()
+    prior = words.prior()
     chosen = docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SEED_ROWS)
     seeds = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.max("text").alias("text"))
 
@@ -286,33 +373,16 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
         model = np.frombuffer(seeded[0]["first"]), np.frombuffer(seeded[0]["move"]).reshape(STATES, STATES), np.frombuffer(seeded[0]["emit"]).reshape(-1, STATES)
     else:
         model = seed_model([], words.classes, prior)
-    rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    names = [f"g{s}" for s in range(STATES)]
-    size, last = words.classes + STATES + 2, -np.inf
-    while True:
-
-        def expect(batches, model=model):
-            sums = np.zeros((size, STATES))
-            for whole in batches:
-                for batch in slices(whole, "text"):
-                    for _, active, observed in _groups(batch.column("text"), words):
-                        likelihood, starts, moves, emitted = _expected(model, active, observed, words.classes)
-                        sums[: words.classes] += emitted
-                        sums[words.classes : -2] += moves
-                        sums[-2] += starts
-                        sums[-1, 0] += likelihood
-            live = np.flatnonzero(sums.any(1))
-            yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), *(pa.array(sums[live, s]) for s in range(STATES))], names=["k", *names])
-
-        counted = rows.mapInArrow(expect, "k int, " + ", ".join(f"{n} double" for n in names)).groupBy("k").agg(*(F.sum(n).alias(n) for n in names)).collect()
-        sums = np.zeros((size, STATES))
-        for r in counted:
-            sums[r["k"]] = r[1:]
-        model = maximise(sums[-2], sums[words.classes : -2], sums[: words.classes], prior)
-        likelihood = sums[-1, 0]
-        if likelihood - last <= TOLERANCE * abs(likelihood):
-            return model
-        last = likelihood
+    encoded = encode(docs, words, id_col, text_col)
+    for part in (encoded.where("early"), encoded):
+        last = -np.inf
+        while True:
+            *sums, likelihood = _count(part, words, model)
+            model = maximise(*sums, prior)
+            if likelihood - last <= TOLERANCE * abs(likelihood):
+                break
+            last = likelihood
+    return model
 
 
 def _score(words: Lexicon, model, shards: int):
@@ -321,13 +391,13 @@ def _score(words: Lexicon, model, shards: int):
     def run(batches):
         uid = TaskContext.get().partitionId() << 32
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 12 << 20):
                 offsets, codes, hashes = tokens(batch.column("text"))
                 count, kind = words.look_up(hashes)
                 kinds = kind[codes] if len(codes) else np.zeros(0, np.int32)
                 log10 = np.zeros(len(batch))
                 for texts, active, observed in lock_step(offsets, kinds):
-                    log10[texts] = forward(model, active, observed)[0] / np.log(10)
+                    log10[texts] = forward(model, active, observed) / np.log(10)
                 owner = np.repeat(np.arange(len(batch)), np.diff(offsets))
                 here = count >= 0
                 base, share = np.where(here, words.base(np.maximum(count, 0)), 0), np.where(here, words.within(np.maximum(count, 0), kind), 0)
@@ -371,7 +441,7 @@ def _look_up_rare(words: Lexicon):
                 at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                 count = np.where(hashes[at] == own, counts[at], 0)
             n = int(doc.max()) + 1
-            sums = [np.zeros(n), np.bincount(doc, count > 0, n), np.bincount(doc, words.base(count), n), np.bincount(doc, words.within(count, Lexicon.shared(own)), n)]
+            sums = [np.zeros(n), np.bincount(doc, count > 0, n), np.bincount(doc, words.base(count), n), np.bincount(doc, words.within(count, words.shared(own)), n)]
             blobs.append(np.column_stack(sums).tobytes())
         return pa.table([left.column("uid"), pa.array(blobs, pa.binary()), left.column("docs"), left.column("held")], names=["uid", "blob", "docs", "held"])
 
@@ -403,9 +473,10 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crc32 of the id leaves 2 modulo 7, or whose id is null, teach nothing. A
     null or empty text is one token, the end. Repeated rows count as often as
     they occur. With no training rows the base is add-one over nothing and
-    the model knows only classes.
+    the model knows only classes. Ids may be of any type (see ``number``);
+    other columns are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), held_out(F.col(id_col), 7, 2).alias("held"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(number(docs, id_col).alias("doc"), held_out(F.col(id_col), 7, 2).alias("held"), F.col(text_col).cast("string").alias("text"))
     learning = rows.where("not held")
     counted = count_words(learning)
     words = lexicon(counted)
@@ -414,5 +485,4 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sent = rows.mapInArrow(_score(words, model, shards), "shard int, uid long, blob binary, docs array<long>, held array<boolean>, who binary")
     found = sent.groupBy("shard").cogroup(counted.select("shard", "hashes", "counts").groupBy("shard")).applyInArrow(_look_up_rare(words), "uid long, blob binary, docs array<long>, held array<boolean>")
     out = found.where("uid is not null").groupBy("uid").applyInArrow(_sum_up(words), "doc long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    kind = docs.schema[id_col].dataType.simpleString()
-    return out.select(F.col("doc").cast(kind).alias(id_col), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return name_again(out, docs, id_col, "doc")

@@ -241,6 +241,25 @@ def test_language_model_scores(spark, docs):
         want[r.doc_id, held(r.doc_id), len(t), sum(counts[w] > 0 for w in t), total, round(sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in t), 5)] += 1
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == want
     assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    named = plain.select(F.concat(F.lit("n"), F.col("doc_id")).alias("doc_id"), "text", F.lit(1).alias("doc"), F.lit(1).alias("score"))
+    again = hidden_markov.language_scores(named).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in again) == Counter((r.doc_id and "n" + str(r.doc_id), len(words(r.text)) + 1) for r in plain.withColumn("doc_id", F.col("doc_id").cast("string")).collect())
+    assert all(r.held_out == (r.doc_id is None or zlib.crc32(r.doc_id.encode()) % 7 == 2) for r in again)
+
+
+def test_classes_grow_with_the_vocabulary():
+    def classes(distinct):
+        n = min(distinct, hidden_markov.HEAD)
+        head = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        none = np.zeros(hidden_markov.MOST_SHARED, np.int64)
+        found = hidden_markov.Lexicon(head, np.full(n, 5), 3, 5 * n + 3, distinct, none, none)
+        return found.owned, found.pooled
+
+    assert classes(100) == (100, 256)
+    small, large = classes(2_000_000), classes(6_000_000)
+    assert small[0] < large[0] and small[1] < large[1]
+    most = classes(10**9)
+    assert most == (hidden_markov.MOST_OWN, hidden_markov.MOST_SHARED) and 1 + sum(most) < 1 << 16
 
 
 def test_training_goes_on_until_the_likelihood_settles(spark):
@@ -250,13 +269,11 @@ def test_training_goes_on_until_the_likelihood_settles(spark):
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
     lexicon = hidden_markov.lexicon(hidden_markov.count_words(docs))
     model = hidden_markov.train(docs, lexicon, "doc_id", "text")
-    prior = np.zeros(lexicon.classes)
-    prior[0], prior[lexicon.own[lexicon.own > 0]] = lexicon.texts, lexicon.counts[lexicon.own > 0]
-    prior[1 + hidden_markov.OWN :] = lexicon.shared_total
-    prior = (prior + 0.01) / (prior + 0.01).sum()
+    prior = lexicon.prior()
+    assert lexicon.classes == 1 + lexicon.owned + lexicon.pooled and np.isclose(prior.sum(), 1)
     groups = list(hidden_markov._groups(pa.array([t for _, t in rows]), lexicon))
-    likelihood = lambda m: sum(hidden_markov.forward(m, active, observed)[0].sum() for _, active, observed in groups)
-    sums = [sum(x) for x in zip(*(hidden_markov.expected_counts(model, active, observed, lexicon.classes) for _, active, observed in groups), strict=True)]
+    likelihood = lambda m: sum(hidden_markov.forward(m, active, observed).sum() for _, active, observed in groups)
+    sums = [sum(x) for x in zip(*(hidden_markov.expected_counts(model, active, observed, lexicon.classes) for _, active, observed in groups), strict=True)][:3]
     before, after = likelihood(model), likelihood(hidden_markov.maximise(*sums, prior))
     assert after - before <= 1e-4 * abs(after)
 
@@ -266,14 +283,15 @@ def test_forward_equals_summing_all_paths():
     first, move, emit = rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 5, 3).T
     offsets, kinds = np.array([0, 3, 3, 5]), np.array([1, 4, 2, 3, 1])
     for texts, active, observed in hidden_markov.lock_step(offsets, kinds):
-        total = hidden_markov.forward((first, move, emit), active, observed)[0]
+        total = hidden_markov.forward((first, move, emit), active, observed)
         for row, k in enumerate(texts):
             seen = [*kinds[offsets[k] : offsets[k + 1]], 0]
             state = first * emit[seen[0]]
             for s in seen[1:]:
                 state = state @ move * emit[s]
             assert math.isclose(total[row], math.log(state.sum()))
-        starts, moves, emitted = hidden_markov.expected_counts((first, move, emit), active, observed, 5)
+        starts, moves, emitted, likelihood = hidden_markov.expected_counts((first, move, emit), active, observed, 5)
+        assert math.isclose(likelihood, total.sum())
         assert math.isclose(starts.sum(), 3) and math.isclose(moves.sum(), 5) and np.allclose(emitted.sum(1), np.bincount(observed, minlength=5))
 
 
