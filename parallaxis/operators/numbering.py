@@ -22,3 +22,19 @@ def number_rows(df: DataFrame, order: list, out: str) -> DataFrame:
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return placed.join(F.broadcast(before), "_part").withColumn(out, F.col("_before") + F.col("_nth")).drop("_part", "_nth", "_at", "_before")
+
+
+def running_sums(df: DataFrame, order: list, sums: dict[str, str]) -> DataFrame:
+    """``df`` with running sums (the own row included) in the total order ``order``: ``sums`` maps new columns to summed ones.
+
+    Works like ``number_rows``: partitions sum up on their own and are shifted
+    by the totals of those before them.
+    """
+    placed = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_at", 33))
+    totals = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    earlier = Window.orderBy("_part")
+    before = totals.select("_part", *[(F.sum(f"_{n}").over(earlier) - F.col(f"_{n}")).alias(f"_{n}") for n in sums])
+    own = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = placed.join(F.broadcast(before), "_part").withColumns({n: F.sum(c).over(own) + F.col(f"_{n}") for n, c in sums.items()})
+    return out.drop("_part", "_at", *[f"_{n}" for n in sums])
