@@ -14,12 +14,17 @@ from parallaxis.runtime import cut_lineage
 
 #: (verdict, host, path): fits the host and its subdomains where the path starts so; the longest wins.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Share of a host's standing that follows links, and rounds of propagation that the SQL spells out.
-DAMPING, ROUNDS = 0.85, 8
+#: Share of a host's standing that follows links.
+DAMPING = 0.85
 #: Propagation ends when what is still under way can change no verdict, or is less than this.
 TOLERANCE = 1e-9
-#: A host is blocked if its distrust exceeds its trust and that of a host with half of its pages blocked.
-LEAST = (1 - DAMPING) / 2
+#: Rounds of the SQL: what they leave under way is below TOLERANCE.
+SQL_ROUNDS = 160
+#: A host is blocked if its distrust exceeds its trust and that of a host with half of its pages blocked,
+#: by more than MARGIN, which the order of a sum of doubles cannot make up.
+LEAST, MARGIN = (1 - DAMPING) / 2, 1e-6
+#: Hosts with more than this share of all pages (so no more than 1 / HOT of them) take their verdict by broadcast.
+HOT = 0.001
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?(?:[a-z][a-z0-9+.\-]*:)?//([^/?#\"'\s>]+)"
@@ -95,9 +100,12 @@ def _settled(rank: DataFrame) -> bool:
     trust, distrust = left.get("trust", 0.0), left.get("distrust", 0.0)
     if max(trust, distrust) < TOLERANCE:
         return True
-    now, limit = F.col("distrust"), F.greatest(F.col("trust"), F.lit(LEAST))
-    blocked = now > F.greatest(F.col("trust") + trust, F.lit(LEAST))
-    return _by_kind(rank).where(~blocked & (now + distrust > limit)).isEmpty()
+    sure, possible = _blocked(F.col("trust") + trust, F.col("distrust")), _blocked(F.col("trust"), F.col("distrust") + distrust)
+    return _by_kind(rank).where(possible & ~sure).isEmpty()
+
+
+def _blocked(trust: Column, distrust: Column) -> Column:
+    return distrust > F.greatest(trust, F.lit(LEAST)) + MARGIN
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
@@ -105,31 +113,39 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
     Urls that no rule fits take their host's verdict; the empty host, hosts
     without standing and hosts whose distrust is low are allowed. Repeated
-    rows and null ids pass through; a null html has no links.
+    rows and null ids pass through; a null html has no links; other columns
+    are ignored; an empty table gives no rows.
+
+    The hosts that hold much of all pages are few; their verdicts are
+    broadcast, and only rows of other hosts are dealt by host.
     """
     rules = tuple(rules)
     host, path = host_and_path(F.col(url_col))
     split = pages.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("path"), F.col(html_col).cast("string").alias("html"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     named = split.withColumns({"rule": name, "by_rule": verdict})
-    seeds = named.where("host <> ''").groupBy("host").agg(F.avg((F.col("by_rule").eqNullSafe("allow")).cast("double")).alias("trusted"), F.avg((F.col("by_rule").eqNullSafe("block")).cast("double")).alias("blocked"))
+    seeds = named.where("host <> ''").groupBy("host").agg(F.avg((F.col("by_rule").eqNullSafe("allow")).cast("double")).alias("trusted"), F.avg((F.col("by_rule").eqNullSafe("block")).cast("double")).alias("blocked"), F.count("*").alias("pages"))
+    seeds = cut_lineage(seeds)
     found = standing(seeds, host_links(split, "host", "html"))
-    bad = found.where((F.col("distrust") > F.col("trust")) & (F.col("distrust") > LEAST)).select("host", F.lit("block").alias("by_host"))
-    out = named.drop("html").join(bad, "host", "left")
-    return out.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", "by_host", F.lit("allow")).alias("verdict"))
+    bad = cut_lineage(found.where(_blocked(F.col("trust"), F.col("distrust"))).select("host", F.lit("block").alias("by_host")))
+    most = (seeds.agg(F.sum("pages")).first()[0] or 0) * HOT
+    hot = seeds.where(F.col("pages") > most).join(bad, "host", "left").select("host", F.coalesce("by_host", F.lit("allow")).alias("by_hot"))
+    out = named.drop("html").join(F.broadcast(hot), "host", "left").withColumn("verdict", F.coalesce("by_rule", "by_hot", F.when(F.col("host") == "", "allow")))
+    # rows that have their verdict meet no host: their keys (no host holds a slash) spread them over all tasks
+    key = F.when(F.col("verdict").isNull(), F.col("host")).otherwise(F.concat(F.lit("/"), F.xxhash64("_id", "host", "path").cast("string")))
+    out = out.withColumn("_key", key).join(bad.withColumnRenamed("host", "_key"), "_key", "left")
+    return out.select(F.col("_id").alias(id_col), "host", "path", "rule", F.coalesce("verdict", "by_host", F.lit("allow")).alias("verdict"))
 
 
 def oracle_sql(rules=RULES) -> str:
-    """The same in DuckDB SQL over ``pages``, but with ``ROUNDS`` rounds, spelled out, where ``standing`` runs to the limit."""
+    """The same in DuckDB SQL over ``pages``, all rounds spelled as recursion."""
     ordered = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1:], r[0]))
     fits = [f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '{p}')" for _, h, p in ordered]
     name = " ".join(f"when {f} then '{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True))
     verdict = " ".join(f"when {f} then '{v}'" for f, (v, _, _) in zip(fits, ordered, strict=True))
     link = LINK.removeprefix("(?i)").replace("'", "''")
-    rounds = "".join(f""",
-r{k + 1} as materialized (select host, kind, sum(rank) as rank from (select * from r0 union all select m.target, m.kind, m.share * r.rank * {DAMPING} from moves m join r{k} r on r.host = m.host and r.kind = m.kind) group by all)""" for k in range(ROUNDS))
     return f"""
-with u as (select page_id, html, case when contains(url, '://') then url[strpos(url, '://') + 3:] else '' end as rest from pages),
+with recursive u as (select page_id, html, case when contains(url, '://') then url[strpos(url, '://') + 3:] else '' end as rest from pages),
 h as (select page_id, html, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') as host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path from u),
 named as (select *, case {name} end as rule, case {verdict} end as by_rule from h),
 found as (select host as src, translate(unnest(list_distinct(regexp_extract_all(html, '{link}', 1, 'i'))), '{UPPER}', '{LOWER}') as dst from named),
@@ -137,8 +153,11 @@ n as (select src, dst, count(*) as n from found where src <> dst and src <> '' a
 links as (select src, dst, n / sum(n) over (partition by src) as share from n),
 moves as materialized (select src as host, 'trust' as kind, dst as target, share from links union all select dst, 'distrust', src, share / sum(share) over (partition by dst) from links),
 seeds as (select host, avg((by_rule is not distinct from 'allow')::int) as trusted, avg((by_rule is not distinct from 'block')::int) as blocked from named where host <> '' group by host),
-r0 as materialized (select host, 'trust' as kind, trusted * {1 - DAMPING} as rank from seeds where trusted > 0 union all select host, 'distrust', blocked * {1 - DAMPING} from seeds where blocked > 0){rounds},
-s as (select host, coalesce(sum(rank) filter (kind = 'trust'), 0) as trust, coalesce(sum(rank) filter (kind = 'distrust'), 0) as distrust from r{ROUNDS} group by host),
-bad as (select host from s where distrust > trust and distrust > {LEAST})
+r(k, host, kind, part) as (
+  select 0, host, 'trust', trusted * {1 - DAMPING} from seeds where trusted > 0
+  union all select 0, host, 'distrust', blocked * {1 - DAMPING} from seeds where blocked > 0
+  union all select k + 1, target, kind, sum(part) from (select r.k, m.target, m.kind, m.share * r.part * {DAMPING} as part from r join moves m on r.host = m.host and r.kind = m.kind where r.k < {SQL_ROUNDS}) group by all),
+s as (select host, coalesce(sum(part) filter (kind = 'trust'), 0) as trust, coalesce(sum(part) filter (kind = 'distrust'), 0) as distrust from r group by host),
+bad as (select host from s where distrust > greatest(trust, {LEAST}) + {MARGIN})
 select page_id, named.host, path, rule, coalesce(by_rule, case when bad.host is not null then 'block' end, 'allow') as verdict from named left join bad on bad.host = named.host
 """
