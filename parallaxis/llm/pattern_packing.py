@@ -12,6 +12,7 @@ length and rank alone, without meeting each other.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter
 
@@ -47,8 +48,9 @@ class Encoder:
     words. So the file's vocabulary is loaded as ranks (ids follow the order
     of merges in such files, which is checked) into ``tiktoken``, each
     distinct word of a batch is encoded once, and ids are gathered by word.
-    The ids are those of ``tokenizers``; any other kind of file is handed to
-    that library whole.
+    The ids are those of ``tokenizers``; texts that hold an added token of
+    the file (like an end-of-text mark, which is one id there), and any other
+    kind of file, are handed to that library whole.
     """
 
     def __init__(self, path: str | None = None):
@@ -69,8 +71,9 @@ class Encoder:
             from tokenizers import Tokenizer
 
             self.whole = Tokenizer.from_file(path)
-            self.whole.encode_special_tokens = True
             return
+        self.path, self.library = path, None
+        self.added = "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True))
         import tiktoken
 
         ranks = {bytes(letters[c] for c in k): v for k, v in vocabulary.items()}
@@ -83,7 +86,8 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         if self.whole:
             return _joined([x.ids for x in self.whole.encode_batch(texts.to_pylist(), add_special_tokens=False)])
-        odd = pc.or_(pc.match_substring_regex(texts, UNUSUAL), pc.equal(texts, "")).to_numpy(zero_copy_only=False)
+        marked = pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False) if self.added else np.zeros(len(texts), bool)
+        odd = pc.or_(pc.match_substring_regex(texts, UNUSUAL), pc.equal(texts, "")).to_numpy(zero_copy_only=False) | marked
         usual = np.flatnonzero(~odd)
         words = pc.split_pattern(texts.take(pa.array(usual)), " ")
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -107,8 +111,15 @@ class Encoder:
             last = stop[first[k + 1 : k + 65] - first[k] - 1]
             for n, part in zip(usual[k : k + 64], np.split(found, last[:-1]), strict=True):
                 out[n] = part
-        for n in np.flatnonzero(odd):
+        for n in np.flatnonzero(odd & ~marked):
             out[n] = np.array(self.one(texts[n].as_py()), np.uint32)
+        if marked.any():
+            if self.library is None:
+                from tokenizers import Tokenizer
+
+                self.library = Tokenizer.from_file(self.path)
+            for n in np.flatnonzero(marked):
+                out[n] = np.array(self.library.encode(texts[n].as_py(), add_special_tokens=False).ids, np.uint32)
         return _joined(out)
 
     def _words(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
