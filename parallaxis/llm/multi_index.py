@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parallaxis.llm.common import name_again, number
 from parallaxis.operators.components import connected_components
 from parallaxis.runtime import cut_lineage
 
@@ -27,7 +28,7 @@ THRESHOLD, RECALL = 0.98, 0.9995
 #: Vectors that the codebooks are fitted on (those of least hashed id), rounds of fitting.
 SAMPLE, ROUNDS = 8192, 12
 #: Codewords per half at least and at most; one more for each doubling in size of a sixteenth.
-LEAST_WORDS, MOST_WORDS = 8, 256
+LEAST_WORDS, MOST_WORDS = 8, 2048
 #: Residents or visitors of a cell that meet in one block.
 BLOCK = 2048
 
@@ -81,8 +82,9 @@ def calibrate(sample: np.ndarray, books, threshold: float, recall: float) -> int
     rows = np.arange(len(base))
     limit = first[rows, home[0]] + second[rows, home[1]]
     ahead = np.zeros(len(base), np.int64)
-    for k in range(0, len(base), 256):
-        part = slice(k, k + 256)
+    chunk = max(1, (1 << 24) // (len(books[0]) * len(books[1])))
+    for k in range(0, len(base), chunk):
+        part = slice(k, k + chunk)
         ahead[part] = (first[part, :, None] + second[part, None, :] < limit[part, None, None]).sum((1, 2))
     return int(np.quantile(ahead, recall, method="higher")) + 1
 
@@ -192,27 +194,34 @@ def near_duplicates(vectors: DataFrame, id_col="vec_id", vector_col="embedding",
     or non-finite components, or whose label or id is null, links with
     nothing. Vectors of different lengths don't link. ``n_links`` counts the other vectors linked directly,
     equal ones included; ``component_id`` is the smallest id reachable;
-    ``kept`` marks the vector that has that id. Repeated rows count as copies.
+    ``kept`` marks the vector that has that id. Repeated rows count as copies;
+    rows of one id with different vectors are vectors of their own. Ids that
+    are no whole numbers are ordered by their hash, which ``component_id``
+    then holds (see ``number``). Other columns are ignored; an empty table
+    gives no rows.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    rows = vectors.select(number(vectors, id_col).alias("vec"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
     packed = cut_lineage(rows.mapInArrow(_pack, "vec long, label string, direction binary"))
     whole = packed.where("vec is not null and label is not null and direction is not null").withColumn("label", F.concat_ws("|", "label", F.length("direction")))
-    classes = cut_lineage(whole.groupBy("label", "direction").agg(F.min("vec").alias("vec"), F.count("*").alias("copies")))
+    classes = whole.groupBy("label", "direction").agg(F.min("vec").alias("vec"), F.count("*").alias("copies"))
+    classes = cut_lineage(classes.withColumn("node", F.xxhash64("label", "direction")))
     links, component = None, None
     for (width,) in classes.select(F.length("direction")).distinct().collect():
-        found = _of_width(classes.where(F.length("direction") == width), threshold)
+        found = _of_width(classes.where(F.length("direction") == width).select("label", "direction", "copies", F.col("node").alias("vec")), threshold)
         links = found if links is None else links.unionByName(found)
-    kind = vectors.schema[id_col].dataType.simpleString()
     if links is None:
-        return packed.select(F.col("vec").cast(kind).alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"), F.lit(True).alias("kept"))
+        out = packed.select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"), F.lit(True).alias("kept"))
+        return name_again(out, vectors, id_col, "vec")
     found = cut_lineage(links)
-    counts = found.groupBy("vec").agg(F.sum("links").alias("links"))
-    component = connected_components(found, "vec", "root").withColumnRenamed("id", "vec")
-    of_class = classes.join(counts, "vec", "left").join(component, "vec", "left").select("label", "direction", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec").alias("component_id"))
+    counts = found.groupBy(F.col("vec").alias("node")).agg(F.sum("links").alias("links"))
+    component = connected_components(found, "vec", "root").withColumnRenamed("id", "node")
+    of_class = classes.join(counts, "node", "left").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = of_class.groupBy("component").agg(F.min("vec").alias("component_id"))
+    of_class = of_class.join(least, "component").select("label", "direction", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = packed.withColumn("label", F.when(F.col("vec").isNotNull() & F.col("label").isNotNull() & F.col("direction").isNotNull(), F.concat_ws("|", "label", F.length("direction"))))
     out = out.join(of_class, ["label", "direction"], "left")
     out = out.select("vec", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec").alias("component_id"))
-    return out.select(F.col("vec").cast(kind).alias(id_col), "n_links", "component_id", F.coalesce(F.col("vec") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return name_again(out.select("*", F.coalesce(F.col("vec") == F.col("component_id"), F.lit(True)).alias("kept")), vectors, id_col, "vec")
 
 
 def oracle_sql(threshold: float = THRESHOLD) -> str:
