@@ -13,8 +13,8 @@ what a table that every executor holds may have (``MOST_OWN``,
 
 Training texts are written once as class numbers, laid out for the
 recursions. States start from expectation-maximisation on at most
-``SEED_ROWS`` texts, go on over every sixteenth text (by hashed id), and then
-over all training texts: each round runs scaled forward-backward over every
+``SEED_ROWS`` texts, go on over every sixteenth and every fourth text (by
+hashed id), and then over all training texts: each round runs scaled forward-backward over every
 text, and the partitions' expected counts are summed by Spark, until a round
 raises the log-likelihood by no more than ``TOLERANCE`` of itself. Scoring is
 the scaled forward recursion over the whole text in double precision: the
@@ -44,9 +44,9 @@ OWN, MOST_OWN, PER_OWN = 8192, 57_344, 128
 SHARED, MOST_SHARED, PER_SHARED = 256, 4096, 4096
 SEED_ROWS, SEED_ROUNDS, TOLERANCE = 512, 12, 1e-4
 #: One text in so many, by hashed id, is in the rounds before those over all.
-EARLY = 16
+EARLY = (16, 4)
 #: Tokens of a batch that run in lock step, and classes of a row of expected counts.
-TOKENS, ROW = 1 << 19, 4096
+TOKENS, ROW = 1 << 20, 4096
 
 
 def tokens(texts: pa.Array):
@@ -305,20 +305,25 @@ def _groups(texts: pa.Array, words: Lexicon):
 
 
 def encode(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> DataFrame:
-    """Training texts as class numbers in lock-step groups: (early, active, observed), written once."""
+    """Training texts as class numbers in lock-step groups: (level, active, observed), written once.
+
+    Level 0 is one text in ``EARLY[0]``, with level 1 it is one in ``EARLY[1]``, and so on.
+    """
+    turn = F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(EARLY[0]))
+    level = sum(((turn >= EARLY[0] // n).cast("int") for n in EARLY[1:]), (turn >= 1).cast("int"))
 
     def run(batches):
         for whole in batches:
             for batch in slices(whole, "text", 12 << 20):
-                for early in (True, False):
-                    part = batch.filter(pc.equal(batch.column("early"), early))
+                for level in range(len(EARLY) + 1):
+                    part = batch.filter(pc.equal(batch.column("level"), level))
                     found = [(active.astype("<i4").tobytes(), observed.astype("<u2").tobytes()) for _, active, observed in _groups(part.column("text"), words)]
                     if found:
                         active, observed = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([early] * len(found)), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["early", "active", "observed"])
+                        yield pa.RecordBatch.from_arrays([pa.array([level] * len(found), pa.int32()), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["level", "active", "observed"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), (F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(EARLY)) == 0).alias("early"))
-    return cut_lineage(rows.mapInArrow(run, "early boolean, active binary, observed binary"))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), level.alias("level"))
+    return cut_lineage(rows.mapInArrow(run, "level int, active binary, observed binary"))
 
 
 def _count(encoded: DataFrame, words: Lexicon, model) -> tuple:
@@ -374,7 +379,9 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
     else:
         model = seed_model([], words.classes, prior)
     encoded = encode(docs, words, id_col, text_col)
-    for part in (encoded.where("early"), encoded):
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism  # each sends its sums once a round
+    for level in range(len(EARLY) + 1):
+        part = encoded.coalesce(tasks) if level == len(EARLY) else cut_lineage(encoded.where(F.col("level") <= level).coalesce(tasks))
         last = -np.inf
         while True:
             *sums, likelihood = _count(part, words, model)
