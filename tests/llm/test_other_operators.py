@@ -93,6 +93,16 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     assert all(got[k] == (0, k, True) for k in (500, 501, 502, 503, 504, 505, 506)) and got[None] == (0, None, True)
 
 
+def test_one_id_with_two_vectors_and_named_ids(spark):
+    a, b, c = [1.0, 0.0], [0.0, 1.0], [1.0, 0.01]
+    rows = [(5, a), (5, b), (7, b), (9, c), (3, [-1.0, 0.0])]
+    got = Counter(tuple(r) for r in multi_index.near_duplicates(spark.createDataFrame([(k, v, 1, k) for k, v in rows], "vec_id LONG, embedding ARRAY<DOUBLE>, label INT, node LONG")).collect())
+    assert got == Counter([(5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (9, 1, 5, False), (3, 0, 3, True)])
+    named = multi_index.near_duplicates(spark.createDataFrame([(f"v{k}", v, 1) for k, v in rows[2:]] + [("w", c, 1)], "vec_id STRING, embedding ARRAY<DOUBLE>, label INT")).collect()
+    assert Counter((r.vec_id, r.n_links) for r in named) == Counter([("v7", 0), ("v9", 1), ("w", 1), ("v3", 0)]) and sum(r.kept for r in named) == 3
+    assert multi_index.near_duplicates(spark.createDataFrame([], "vec_id STRING, embedding ARRAY<DOUBLE>, label INT")).count() == 0
+
+
 def test_multi_sequence_is_the_order_of_summed_distances():
     rng = np.random.default_rng(6)
     a, b = rng.random((5, 9)), rng.random((5, 9))

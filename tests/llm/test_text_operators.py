@@ -162,6 +162,28 @@ def test_mix_deals_documents_to_output_shards(spark, docs, monkeypatch):
     for r in mixing.mixed_documents(docs).collect():
         plain[r.doc_id, r.source] += len(words(r.text))
     assert whole == plain
+    listed = Counter()
+    for r in mixing.mix(docs).collect():
+        parts = [tuple(map(int, p.split(":"))) for p in r.shards.split()]
+        assert sum(n for _, n in parts) == r.taken and parts == sorted(parts)
+        for shard, n in parts:
+            listed[shard] += n
+    assert listed == Counter({shard: sum(n for (k, _), n in want.items() if k == shard) for shard in slots})
+
+
+def test_shard_counts_are_a_draw_of_exact_totals(spark):
+    targets = spark.createDataFrame([(0, 400_000, 600_000.0), (1, 90_000, 130_001.0)], "s LONG, source_size LONG, target DOUBLE")
+    passes = mixing._passes(targets)
+    counts = mixing.draw_counts(passes).collect()
+    totals = {(r.s, r["pass"]): r.slots for r in passes.collect()}
+    shards = passes.first().shards
+    for key, total in totals.items():
+        own = sorted((r.shard, r.first, r["count"]) for r in counts if (r.s, r["pass"]) == key)
+        assert sum(n for _, _, n in own) == total and all(a[1] + a[2] == b[1] for a, b in zip(own, own[1:], strict=False))
+        # chi-square of a uniform draw over the shards
+        expected = total / shards
+        got = dict((k, n) for k, _, n in own)
+        assert sum((got.get(k, 0) - expected) ** 2 / expected for k in range(shards)) < shards + 5 * (2 * shards) ** 0.5
 
 
 def test_permutation_is_a_bijection(spark):
@@ -206,13 +228,14 @@ def test_encoder_equals_the_tokenizer_on_junk():
     import public_tokenizers
 
     reference = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    reference.encode_special_tokens = True
     rnd = random.Random(2)
     alphabet = "ab é1²_.,'s \n\t\u00a0Ⅷ\u0301<|endoftext|>—中\x00\r\u200b  x"
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "x<|endoftext|>y  z", "<|endoftext", "|endoftext|>", "two words <|endoftext|>"]
     ids, ends = pattern_packing.Encoder().encode(pa.array(texts))
     got = [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends, strict=True)]
     assert got == [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+    assert got[4000] == [64, 220, 50256, 275]
 
 
 def test_least_squares_and_best_fit():
