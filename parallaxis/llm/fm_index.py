@@ -1,10 +1,11 @@
 """A compressed FM-index over integer sequences, in numpy.
 
-The text is a row of segments parted by separators (symbol 0). Suffixes are
-sorted by their first 16 symbols, enough for patterns of up to 15: backward
-search needs the order of no more than the pattern's own length. The
-transform is held as a wavelet matrix, one packed bit per symbol and level
-with counts for every 64 bits.
+The text is a row of segments parted by separators (symbol 0), which are told
+apart by their place, so no suffix is compared beyond its segment. Kept are
+the transform as a wavelet matrix (one packed bit per symbol and level, with
+counts for every 64 bits) and, in place of the suffix array, the segment of
+every eighth position and of each segment's first one: from any other row,
+steps back through the transform lead to one of these within its segment.
 """
 
 from __future__ import annotations
@@ -27,29 +28,37 @@ class BitRow:
         low = self.words[word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1))
         return self.before[word] + np.bitwise_count(low)
 
+    def get(self, at: np.ndarray) -> np.ndarray:
+        """The bits at ``at``."""
+        return (self.words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+
 
 class FMIndex:
     """Backward search over ``text`` (int array, 0 parts segments, symbols from 1)."""
 
-    DEPTH = 16
+    #: One position in so many keeps its segment.
+    STEP = 8
 
     def __init__(self, text: np.ndarray):
         n = len(text)
-        rank = text.astype(np.int64)
-        order = np.argsort(rank, kind="stable")
-        width = 1
-        while width < self.DEPTH:
-            shifted = np.zeros(n, np.int64)
-            shifted[: max(n - width, 0)] = rank[width:] + 1
-            key = rank * (n + 2) + shifted
-            order = np.argsort(key, kind="stable")
-            sorted_key = key[order]
-            rank = np.empty(n, np.int64)
+        parts = text == 0
+        rank = text.astype(np.int64) + int(parts.sum())
+        rank[parts] = np.arange(parts.sum())
+        order, width = np.argsort(rank, kind="stable"), 0
+        while n:
+            sorted_key = rank[order]
             rank[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-            width *= 2
-            if n and rank[order[-1]] == n - 1:
+            if rank[order[-1]] == n - 1:
                 break
-        self.suffixes = order
+            width = width * 2 or 1
+            shifted = np.zeros(n, np.int64)
+            shifted[: max(n - width, 0)] = rank[width:] + 1
+            rank = rank * (n + 2) + shifted
+            order = np.argsort(rank, kind="stable")
+        starts = np.concatenate([[True], parts[:-1]]) if n else parts
+        kept = starts | (np.arange(n) % self.STEP == 0)
+        self.marks = BitRow(kept[order].astype(np.uint8))
+        self.segments = (np.cumsum(starts) - 1).astype(np.int32)[order[kept[order]]]
         self.size = n
         self.top = int(text.max()) + 1 if n else 1
         counts = np.bincount(text, minlength=self.top)
@@ -79,6 +88,26 @@ class FMIndex:
         half = len(lo)
         return at[:half] + base, at[half:] + base
 
+    def back(self, at: np.ndarray) -> np.ndarray:
+        """Rows of the suffixes that are one symbol longer than those of rows ``at``."""
+        symbol = np.zeros(len(at), np.int64)
+        for (shift, level), zeros in zip(self.levels, self.zeros, strict=True):
+            bit, ones = level.get(at), level.rank(at)
+            symbol |= bit.astype(np.int64) << shift
+            at = np.where(bit, zeros + ones, at - ones)
+        return at + self.first[symbol] - self.begin[symbol]
+
+    def segment(self, rows: np.ndarray) -> np.ndarray:
+        """The segment (counted from 0) that each row's suffix begins in; rows of separators excepted."""
+        out, left, at = np.empty(len(rows), np.int32), np.arange(len(rows)), rows
+        while len(left):
+            hit = self.marks.get(at)
+            out[left[hit]] = self.segments[self.marks.rank(at[hit])]
+            left, at = left[~hit], at[~hit]
+            if len(left):
+                at = self.back(at)
+        return out
+
     def matching(self, text: np.ndarray, ends: np.ndarray, threshold: int, single: int = 1):
         """Matching statistics against the index, cut at ``threshold``.
 

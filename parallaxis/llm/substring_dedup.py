@@ -12,6 +12,9 @@
    them through backward search: matching statistics say which windows occur
    elsewhere, the suffix interval which smallest document holds them.
 5. Intervals return to their documents, which lose the words they cover.
+
+There are as many shards as the counted bytes of text need, so a shard's size
+doesn't grow with the corpus.
 """
 
 from __future__ import annotations
@@ -25,11 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallaxis.llm.common import gram_hashes, hash_words, mix, slices, split_words
+from parallaxis.llm.common import gram_hashes, hash_words, mix, name_again, number, slices, split_words
 from parallaxis.llm.fm_index import FMIndex
 
 #: Words of an anchor. Windows hold WINDOW words unless told otherwise.
 ANCHOR, WINDOW = 5, 13
+#: Bytes of text for each shard, and suffixes of an interval that are located at once.
+SHARD_BYTES, LOCATED = 8 << 20, 1 << 20
 
 
 def anchors(hashes: np.ndarray, offsets: np.ndarray, window: int):
@@ -202,6 +207,21 @@ def _stretches(batch, window, shards):
     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], names=["shard", "blob", "key", "spans"])
 
 
+def _least_of(index: FMIndex, lo: np.ndarray, hi: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """The least of ``docs`` (by segment) in each interval of rows."""
+    out = np.empty(len(lo), np.int64)
+    ends = np.cumsum(hi - lo)
+    a = 0
+    while a < len(lo):
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + LOCATED, side="right")))
+        size = hi[a:b] - lo[a:b]
+        rows = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo[a:b], size)
+        out[a:b] = np.minimum.reduceat(docs[index.segment(rows)], np.cumsum(size) - size)
+        a = b
+    return out
+
+
 def _search(window):
     """Of one shard: index its distinct stretches, stream them, return (key, intervals)."""
 
@@ -239,8 +259,6 @@ def _search(window):
         inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         text[np.repeat(spot, size) + inner] = symbols[np.repeat(head[kept], size) + inner] + 1
         index = FMIndex(text)
-        of_text = np.repeat(least, size + 1)
-        sorted_docs = of_text[index.suffixes]
         windows = size - window + 1
         nth = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         start = np.repeat(spot, windows) + nth
@@ -252,7 +270,7 @@ def _search(window):
                 found, back = np.unique(lo, return_inverse=True)
                 top = np.zeros(len(found), np.int64)
                 top[back] = hi
-                low = np.minimum.reduceat(np.append(sorted_docs, np.iinfo(np.int64).max), np.column_stack([found, top]).ravel())[::2]
+                low = _least_of(index, found, top, least)
                 covered[a + alive] = low[back] < least[stretch[a + alive]]
         later = docs > least[group]
         out_key, out_spans = [], []
@@ -284,7 +302,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, rest: list[str]) -> Data
     """
     text = F.col(text_col).cast("string")
     other = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None).cast("byte")
-    return docs.select(F.xxhash64(F.col(id_col), text).alias("key"), F.col(id_col).cast("long").alias("doc"), text.alias("text"), other.alias("rest"))
+    return docs.select(F.xxhash64(F.col(id_col), text).alias("key"), number(docs, id_col).alias("doc"), text.alias("text"), other.alias("rest"))
 
 
 def covered_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -293,9 +311,10 @@ def covered_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     ``key`` is the 64-bit hash of id and text. Only documents with such
     intervals appear; intervals may overlap.
     """
-    if not ANCHOR <= window < FMIndex.DEPTH:
-        raise ValueError(f"windows hold {ANCHOR} to {FMIndex.DEPTH - 1} words")
-    shards = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) * 2
+    if window < ANCHOR:
+        raise ValueError(f"windows hold {ANCHOR} words at least")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
     sent = rows.select("key", "doc", "text").mapInArrow(_send_anchors(window, shards), "shard int, docs binary, codes binary, key long, shared binary")
     shared = sent.groupBy("shard").applyInArrow(_shared_anchors, "key long, shared binary")
     shared = shared.groupBy("key").agg(F.collect_list("shared").alias("shared"))
@@ -322,22 +341,24 @@ def _keep(text: str | None, spans) -> tuple[int, int, str]:
     return len(words), gone, b" ".join(kept)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, digest: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, digest: bool = False, counts: bool = True) -> DataFrame:
     """Documents without the words that windows of smaller documents hold.
 
-    Adds ``n_words`` and ``n_removed``; the text becomes the kept words joined
-    by one space (a text that loses nothing stays as it is). With ``digest``
-    only id, n_words, n_removed and kept_sha256 are returned. Windows are
-    judged on the input. A null text has no words; a row without id neither
-    removes nor loses words; rows that repeat an id don't remove from each
-    other; an empty table gives no rows.
+    The text becomes the kept words joined by one space (a text that loses
+    nothing stays as it is). With ``counts`` the columns ``n_words`` and
+    ``n_removed`` are added, in place of given ones of these names; without
+    it the columns are those given. With ``digest`` only id, n_words,
+    n_removed and kept_sha256 are returned. Windows are judged on the input.
+    A null text has no words; a row without id neither removes nor loses
+    words; rows that repeat an id don't remove from each other; ids that are
+    no whole numbers are ordered by their hash (see ``number``); an empty
+    table gives no rows.
     """
-    given = docs.columns
+    given = [c for c in docs.columns if not (counts and c in ("n_words", "n_removed"))]
     rest = [] if digest else [c for c in given if c != text_col]
     rows = _keyed(docs, id_col, text_col, rest)
     marked = rows.join(covered_spans(rows, window), "key", "left")
     if digest:
-        kind = docs.schema[id_col].dataType.simpleString()
 
         def summarise(batches):
             for batch in batches:
@@ -350,7 +371,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], names=["doc", "n_words", "n_removed", "kept_sha256"])
 
         out = marked.select("doc", "text", "spans").mapInArrow(summarise, "doc long, n_words long, n_removed long, kept_sha256 string")
-        return out.select(F.col("doc").cast(kind).alias(id_col), "n_words", "n_removed", "kept_sha256")
+        return name_again(out, docs, id_col, "doc")
     row_type = rows.schema["rest"].dataType.simpleString()
 
     def rewrite(batches):
@@ -365,7 +386,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(new, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=["rest", "text", "n_words", "n_removed"])
 
     out = marked.select("doc", "rest", "text", "spans").mapInArrow(rewrite, f"rest {row_type}, text string, n_words long, n_removed long")
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in given], "n_words", "n_removed")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in given], *(("n_words", "n_removed") if counts else ()))
 
 
 def oracle_sql(window: int = WINDOW) -> str:

@@ -57,6 +57,10 @@ def test_substring_dedup_equals_listing_all_windows(spark, docs):
     kept = substring_dedup.remove_repeats(docs)
     assert kept.columns == [*docs.columns, "n_words", "n_removed"] and kept.count() == docs.count()
     assert sum(r.n_removed for r in kept.collect()) == sum(n[2] * c for n, c in want.items())
+    own = docs.withColumn("n_words", F.lit("mine"))
+    plain = substring_dedup.remove_repeats(own, counts=False)
+    assert plain.columns == own.columns and {r.n_words for r in plain.collect()} == {"mine"}
+    assert substring_dedup.remove_repeats(own).columns == [*docs.columns, "n_words", "n_removed"]
 
 
 def test_fm_index_counts_every_pattern():
@@ -74,7 +78,18 @@ def test_fm_index_counts_every_pattern():
         for s in pattern[-2::-1]:
             lo, hi = index.step(np.array([s]), lo, hi)
         windows = np.lib.stride_tricks.sliding_window_view(text, n)
-        assert hi[0] - lo[0] == (windows == pattern).all(1).sum()
+        hits = np.flatnonzero((windows == pattern).all(1))
+        assert hi[0] - lo[0] == len(hits)
+        segment = (np.cumsum(np.concatenate([[True], text[:-1] == 0])) - 1)[hits]
+        assert sorted(index.segment(np.arange(lo[0], hi[0]))) == sorted(segment)
+
+
+def test_fm_index_keeps_no_suffix_array():
+    text = np.concatenate([np.append(np.random.default_rng(k).integers(1, 500, 40), 0) for k in range(500)] + [np.full(5000, 7), [0]])
+    index = fm_index.FMIndex(text)
+    held = index.segments.nbytes + index.marks.words.nbytes + sum(level.words.nbytes + level.before.nbytes for _, level in index.levels)
+    assert held < 4 * len(text)
+    assert (index.segment(np.arange(index.first[7], index.first[8])) == 500).sum() == 5000
 
 
 def test_jaccard_join_equals_all_pairs(docs):
@@ -124,6 +139,26 @@ def test_prefix_depth_reaches_the_recall():
     assert 1 - (1 - 0.8**d) ** 16 >= 0.9995 > 1 - (1 - 0.8 ** (d + 1)) ** 16
 
 
+def test_depth_is_fitted_to_the_measured_recall(spark, docs):
+    rows = docs.select(F.col("doc_id").alias("doc"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    fitted = {r: jaccard_join.fitted_depth(rows, 0.8, r) for r in (0.3, 0.9, 0.9995, 1.0)}
+    assert 8 >= fitted[0.3] >= fitted[0.9] > fitted[0.9995] >= fitted[1.0] >= 1
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(1, 1 << 63, 300, np.uint64) for _ in range(200)]
+    met = np.concatenate([jaccard_join.matched_depths(np.sort(s), 0.8, rng) for s in sets])
+    for d in (8, 6):  # the measured recall is that of the theory
+        assert abs((met >= d).mean() - (1 - (1 - 0.8**d) ** 16)) < 0.03
+    assert jaccard_join.fitted_depth(rows.limit(0), 0.8) == jaccard_join.prefix_depth(0.8, 16, 8, 0.9995)
+
+
+def test_joins_of_named_documents(docs):
+    named = docs.dropDuplicates(["doc_id"]).withColumn("doc_id", F.concat(F.lit("n"), F.col("doc_id"))).withColumn("doc", F.lit(0))
+    links = {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(named).collect()}
+    plain = {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(docs.dropDuplicates(["doc_id"])).collect()}
+    assert links == {k if k is None else f"n{k}": v for k, v in plain.items()}
+    assert {r.doc_id for r in substring_dedup.remove_repeats(named, digest=True).collect()} == set(links)
+
+
 def test_mix_meets_targets_and_documents_follow(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count()
