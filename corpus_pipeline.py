@@ -7,8 +7,8 @@
 5. best-fit packing: one row per piece, with its sequence and place.
 
 All stages but the last return the columns of ``documents``; all take empty
-tables, null texts and ids, repeated rows and further columns (see the
-operators). ``run`` cuts lineage between stages in the shared checkpoint folder.
+tables, null texts and ids, repeated rows and further columns, also such as
+share a name with an operator's own (see the operators). ``run`` cuts lineage between stages in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -34,7 +34,10 @@ def _sized(docs: DataFrame) -> DataFrame:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below 0.5, learned from ``labels``."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, score_col="_toxic").where("_toxic < 0.5").drop("_toxic")
+    name = "_toxic"
+    while name in docs.columns:
+        name += "_"
+    return toxicity.score(docs, model, score_col=name).where(f"`{name}` < 0.5").drop(name)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of windows that smaller documents hold."""
-    return _sized(substring_dedup.remove_repeats(docs).drop("n_words", "n_removed"))
+    return _sized(substring_dedup.remove_repeats(docs, counts=False))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
