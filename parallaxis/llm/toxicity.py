@@ -1,12 +1,13 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text, each counted once: its words and their stems (first four
-characters), the pairs of adjacent stems and the pairs of stems with one word
+Features of a text, each counted once: its words, their stems (first four
+characters), the pairs of adjacent words and the pairs of words with one
 between, hashed into 2**20 places. FTRL-proximal keeps a learning rate per
 coordinate and an L1 threshold, so few weights are left: the model is sent to
 the executors as those pairs of place and weight, at most 2**20 of them.
 
-Training takes at most ``ROWS`` labelled rows, those of least hashed id.
+Training takes at most ``ROWS`` labelled rows of at most ``LONGEST`` bytes,
+those of least hashed id.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from parallaxis.llm.common import hash_words, mix, slices, split_words
 
 #: Hashed places, the most labelled rows to learn from, passes over them.
 BITS, ROWS, PASSES = 20, 12_288, 4
+#: A labelled text of more bytes is not learned from (all texts are scored whole).
+LONGEST = 1 << 16
 #: Training rows that must have a feature for it to count.
 LEAST = 3
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 strength.
@@ -36,11 +39,11 @@ def features(texts: pa.Array):
     word = hash_words(words)
     stem = hash_words(pc.utf8_slice_codeunits(words, 0, 4))
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    own_word, own_stem = word[codes], stem[codes]
-    parts = [(owner, own_word), (owner, own_stem ^ np.uint64(0x51ED270B))]
+    own_word = word[codes]
+    parts = [(owner, own_word), (owner, stem[codes] ^ np.uint64(0x51ED270B))]
     for gap, salt in ((1, 0xA24BAED4963EE407), (2, 0x9FB21C651E98DF25)):
         same = owner[gap:] == owner[:-gap] if len(owner) > gap else np.zeros(0, bool)
-        pair = own_stem[:-gap][same] * np.uint64(salt) + own_stem[gap:][same] if len(same) else np.zeros(0, np.uint64)
+        pair = own_word[:-gap][same] * np.uint64(salt) + own_word[gap:][same] if len(same) else np.zeros(0, np.uint64)
         parts.append((owner[gap:][same] if len(same) else np.zeros(0, np.int64), pair))
     document = np.concatenate([d for d, _ in parts])
     place = mix(np.concatenate([h for _, h in parts])) >> np.uint64(64 - BITS)
@@ -96,6 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(ROWS)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id")
+    rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
     rows = rows.groupBy("_id").agg(F.max("text").alias("text"), F.max("label").alias("label")).withColumn("rank", F.xxhash64("_id"))
 
     def learn(table: pa.Table) -> pa.Table:
@@ -116,8 +120,9 @@ def score(docs: DataFrame, model, text_col: str = "text", score_col: str = "scor
     """``docs`` with the probability of the label, from the whole text of each row.
 
     A null or empty text scores the bias alone. Without a model (nothing was
-    labelled) every score is 0.
+    labelled) every score is 0. A column of the name ``score_col`` is replaced.
     """
+    docs = docs.drop(score_col) if score_col != text_col else docs
     if model is None:
         return docs.withColumn(score_col, F.lit(0.0))
     live, weight, bias = model
@@ -142,7 +147,12 @@ def score(docs: DataFrame, model, text_col: str = "text", score_col: str = "scor
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Learn and apply: all columns of ``docs`` with held_out, score and predicted (score >= 0.5)."""
+    """Learn and apply: all columns of ``docs`` with held_out, score and predicted (score >= 0.5).
+
+    Given columns of these names are replaced. Ids may be of any type; null
+    ids and repeated rows are scored like others; an empty table gives no rows.
+    """
+    docs = docs.drop("held_out", "score", "predicted")
     model = fit(docs, labels, id_col, text_col)
     scored = score(docs.withColumn("held_out", held_out(F.col(id_col), 5, 0)), model, text_col)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
