@@ -4,7 +4,7 @@ The text is a row of segments parted by separators (symbol 0), which are told
 apart by their place, so no suffix is compared beyond its segment. Kept are
 the transform as a wavelet matrix (one packed bit per symbol and level, with
 counts for every 64 bits) and, in place of the suffix array, the segment of
-every eighth position and of each segment's first one: from any other row,
+every fourth position and of each segment's first one: from any other row,
 steps back through the transform lead to one of these within its segment.
 """
 
@@ -37,7 +37,7 @@ class FMIndex:
     """Backward search over ``text`` (int array, 0 parts segments, symbols from 1)."""
 
     #: One position in so many keeps its segment.
-    STEP = 8
+    STEP = 4
 
     def __init__(self, text: np.ndarray):
         n = len(text)

@@ -13,8 +13,8 @@
    elsewhere, the suffix interval which smallest document holds them.
 5. Intervals return to their documents, which lose the words they cover.
 
-There are as many shards as the counted bytes of text need, so a shard's size
-doesn't grow with the corpus.
+There are two shards for each shuffle partition, and more once the counted
+bytes of text call for them, so a shard's size doesn't grow with the corpus.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from parallaxis.llm.fm_index import FMIndex
 
 #: Words of an anchor. Windows hold WINDOW words unless told otherwise.
 ANCHOR, WINDOW = 5, 13
-#: Bytes of text for each shard, and suffixes of an interval that are located at once.
-SHARD_BYTES, LOCATED = 8 << 20, 1 << 20
+#: Bytes of text for each shard at most, and suffixes of intervals that are located at once.
+SHARD_BYTES, LOCATED = 32 << 20, 1 << 18
 
 
 def anchors(hashes: np.ndarray, offsets: np.ndarray, window: int):
@@ -314,7 +314,7 @@ def covered_spans(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < ANCHOR:
         raise ValueError(f"windows hold {ANCHOR} words at least")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
+    shards = max(1, 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     sent = rows.select("key", "doc", "text").mapInArrow(_send_anchors(window, shards), "shard int, docs binary, codes binary, key long, shared binary")
     shared = sent.groupBy("shard").applyInArrow(_shared_anchors, "key long, shared binary")
     shared = shared.groupBy("key").agg(F.collect_list("shared").alias("shared"))

@@ -365,7 +365,7 @@ def test_toxicity_learns_and_holds_out(spark):
         rows.append((k, " ".join(text), "x"))
         labels.append((k, int(bad)))
     rows += [(400, None, "x"), (401, "", "x"), (402, "vile " * 3000, "x"), (None, "nasty", "x"), (0, "again", "x")]
-    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, predicted STRING").drop("predicted")
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, predicted STRING").withColumns({"score": F.lit("mine"), "held_out": F.lit(7)})
     marks = spark.createDataFrame([*labels, (None, 1), (7, None), (0, 1)], "doc_id LONG, toxic INT")
     got = toxicity.toxicity(docs, marks).collect()
     assert len(got) == len(rows)
@@ -378,6 +378,33 @@ def test_toxicity_learns_and_holds_out(spark):
     assert {r.score for r in toxicity.toxicity(docs, marks.where("doc_id < 0")).collect()} == {0.0}
 
 
+def test_weights_are_those_of_learning_row_by_row():
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choice(["vile", "calm", "warm", "Bad.", "so", "it"]) for _ in range(rnd.randint(1, 9))) for _ in range(90)]
+    labels = np.array([int("vile" in t.split()) for t in texts])
+    own = []
+    for text in texts:
+        _, places = toxicity.features(pa.array([text]))
+        own.append(sorted(set(places.tolist())))
+        w = [x.strip(toxicity.EDGES).lower() for x in text.split()]
+        kinds = {("w", x) for x in w} | {("s", x[:4]) for x in w} | {("p", a, b) for a, b in zip(w, w[1:], strict=False)} | {("k", a, b) for a, b in zip(w, w[2:], strict=False)}
+        assert len(own[-1]) == len(kinds)
+    seen = Counter(p for x in own for p in x)
+    z, n, weight = Counter(), Counter(), defaultdict(float)
+    for _ in range(toxicity.PASSES):
+        for places, label in zip(own, labels, strict=True):
+            at = [p for p in places if seen[p] >= toxicity.LEAST] + ["bias"]
+            error = 1 / (1 + math.exp(-max(-35, min(35, sum(weight[p] for p in at))))) - label
+            for p in at:
+                z[p] += error - (math.sqrt(n[p] + error * error) - math.sqrt(n[p])) / toxicity.ALPHA * weight[p]
+                n[p] += error * error
+                over = max(abs(z[p]) - (0 if p == "bias" else toxicity.L1), 0)
+                weight[p] = -math.copysign(over, z[p]) / ((toxicity.BETA + math.sqrt(n[p])) / toxicity.ALPHA + toxicity.L2)
+    live, found, bias = toxicity.train(pa.array(texts), labels)
+    assert math.isclose(bias, weight["bias"], abs_tol=1e-9) and len(live)
+    assert {int(k): round(float(v), 9) for k, v in zip(live, found, strict=True)} == {p: round(v, 9) for p, v in weight.items() if v and p != "bias"}
+
+
 def test_html_blocks_and_labels(spark):
     page = '<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">Menu</a><li>More</ul></nav><div class="ad">Buy &amp; go</div><article><h1>The  title</h1><p><b>First&nbsp;one.<br><p>Second &lt;two&gt; <a href=x>link</a> text, with more.</article><footer>&copy; me</footer>'
     assert [t for t, _, _ in html_extraction.blocks(page)] == ["T", "Menu", "More", "Buy & go", "The title", "First one.", "Second <two> link text, with more.", "© me"]
