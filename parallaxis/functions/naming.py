@@ -86,10 +86,17 @@ def fixed(value: Column, digits: int) -> Column:
     return F.coalesce(F.format_string(f"%.{digits}f", value), F.lit(""))
 
 
-def first_examples(value: Column, n: int = 5) -> Column:
-    """Aggregate: the first ``n`` distinct values in order, joined, and how many there are beyond them."""
-    every = F.sort_array(F.collect_set(value))
-    return F.concat(F.array_join(F.slice(every, 1, n), ", "), F.when(F.size(every) > n, F.concat(F.lit(" ... of "), F.size(every).cast("string"))).otherwise(""))
+def first_examples(rows: DataFrame, by: list[str], value: str, out: str, n: int = 5) -> DataFrame:
+    """``(*by, out)``: the first ``n`` distinct values in order, joined, and how many there are beyond them.
+
+    Only ``n`` values a key are ever gathered.
+    """
+    distinct = rows.select(*by, F.col(value).cast("string").alias("_v")).where("_v is not null").distinct()
+    first = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("_v"))).where(F.col("_r") <= n)
+    shown = first.groupBy(*by).agg(F.array_join(F.sort_array(F.collect_list("_v")), ", ").alias("_shown"))
+    counts = distinct.groupBy(*by).agg(F.count("*").alias("_n"))
+    beyond = F.when(F.col("_n") > n, F.concat(F.lit(" ... of "), F.col("_n").cast("string"))).otherwise("")
+    return shown.join(counts, by).select(*by, F.concat("_shown", beyond).alias(out))
 
 
 def clean_prefix(path: Column) -> Column:

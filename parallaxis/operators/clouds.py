@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parallaxis.operators.numbering import running_sums
 from parallaxis.operators.spatial import crop
 
 
@@ -32,11 +33,11 @@ def union_strict(clouds: list[DataFrame]) -> DataFrame:
     return out
 
 
-def merge_clouds(chunks: list[tuple[dict, DataFrame]], margin: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """Crop each chunk to its box and join them: the cloud, and ``(chunk, before, after, removed, removed_pct)``."""
+def merge_clouds(chunks: list[tuple[dict, DataFrame]], margin: float = 0.0, cut: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Crop each chunk to its box (unless ``cut`` is off) and join them: the cloud, and ``(chunk, before, after, removed, removed_pct)``."""
     cropped, counts = [], None
     for box, cloud in chunks:
-        kept = crop(cloud, box, margin)
+        kept = crop(cloud, box, margin) if cut else cloud
         cropped.append(kept)
         inside = kept.agg(F.lit(box["name"]).alias("chunk"), F.count("*").alias("after"))
         row = cloud.agg(F.lit(box["name"]).alias("chunk"), F.count("*").alias("before")).join(inside, "chunk")
@@ -47,5 +48,8 @@ def merge_clouds(chunks: list[tuple[dict, DataFrame]], margin: float = 0.0) -> t
 
 def track_offsets(points: DataFrame, order: str, length: str, by: list[str] = ()) -> DataFrame:
     """Running end and start of each point's track in file order, model by model (writers of one file need them)."""
+    if not by:  # one order over all rows
+        whole = running_sums(points, [order], {"track_end": length})
+        return whole.withColumn("track_start", F.col("track_end") - F.col(length))
     end = F.sum(length).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return points.withColumn("track_end", end).withColumn("track_start", F.col("track_end") - F.col(length))

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parallaxis.operators.numbering import percentiles
+
 
 def covariance(points: DataFrame, axes=("x", "y", "z")):
     """``(n, mean, population covariance)`` in one pass of distributed aggregates."""
@@ -44,5 +46,5 @@ def planarity(points: DataFrame, axes=("x", "y", "z")) -> DataFrame:
     values, _ = principal_axes(cov)
     flat = project_top_down(points, axes)
     ratio = float(np.sqrt(values[2] / values[1])) if flat is not None else None
-    spread = flat.agg(F.percentile("height", F.array(F.lit(0.05), F.lit(0.95))).alias("p")).first()["p"] if flat is not None else None
+    spread = percentiles(flat, "height", [0.05, 0.95]).first()["p"] if flat is not None else None
     return points.sparkSession.createDataFrame([(n, ratio, spread[1] - spread[0] if spread else None)], "n LONG, planarity DOUBLE, height_spread DOUBLE")

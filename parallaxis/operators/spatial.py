@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parallaxis.operators.numbering import percentiles
+
 LOW, HIGH = ("x0", "y0", "z0"), ("x1", "y1", "z1")
 #: Up to so many boxes every row is tested against all of them; more boxes meet points by grid cell.
 FEW_BOXES = 1024
@@ -86,8 +88,10 @@ def select_for_boxes(points: DataFrame, tracks: DataFrame, cameras: DataFrame, b
 def bounds(points: DataFrame, axes: list[str], by: list[str], trim: float = 0.0) -> DataFrame:
     """Box of each group: min and max, or the exact percentiles ``trim`` and 100 - ``trim`` of each axis."""
     if trim:
-        cut = F.array(F.lit(trim / 100), F.lit(1 - trim / 100))
-        rows = points.groupBy(*by).agg(*[F.percentile(a, cut).alias(a) for a in axes])
+        rows = None
+        for a in axes:
+            found = percentiles(points, a, [trim / 100, 1 - trim / 100], by).withColumnRenamed("p", a)
+            rows = found if rows is None else rows.join(found, by, "full_outer")
         return rows.select(*by, *[F.col(a)[0].alias(f"{a}_low") for a in axes], *[F.col(a)[1].alias(f"{a}_high") for a in axes])
     return points.groupBy(*by).agg(*[F.min(a).alias(f"{a}_low") for a in axes], *[F.max(a).alias(f"{a}_high") for a in axes])
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parallaxis.functions.naming import ratio
+from parallaxis.operators.numbering import percentiles
 
 
 def usable(error: Column) -> Column:
@@ -22,8 +23,9 @@ def observations_per_image(images: DataFrame, tracks: DataFrame, image: str, tra
 
 def profile(df: DataFrame, value: str) -> DataFrame:
     """One row: min, p05, median, mean, p95, max; zeros for no rows. Percentiles are exact, linear."""
-    p = F.percentile(value, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
-    row = df.agg(F.min(value).alias("min"), p.alias("p"), F.avg(value).alias("mean"), F.max(value).alias("max"))
+    found = percentiles(df, value, [0.05, 0.5, 0.95]).first()
+    p = F.array(*[F.lit(x) for x in (found["p"] if found else (None,) * 3)])
+    row = df.agg(F.min(value).alias("min"), F.first(p).alias("p"), F.avg(value).alias("mean"), F.max(value).alias("max"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     least = {x: F.coalesce(F.col(x), F.lit(0).cast(row.schema[x].dataType)) for x in ("min", "max")}
     return row.select(least["min"].alias("min"), zero(F.col("p")[0]).alias("p05"), zero(F.col("p")[1]).alias("median"), zero(F.col("mean")).alias("mean"), zero(F.col("p")[2]).alias("p95"), least["max"].alias("max"))
@@ -36,7 +38,9 @@ def error_stats(points: DataFrame, error: str, length: str) -> DataFrame:
     every error as it is.
     """
     good = F.when(usable(F.col(error)), F.col(error))
-    return points.agg(F.count(good).alias("usable"), F.avg(good).alias("mean"), F.percentile(good, F.lit(0.5)).alias("median"), F.percentile(good, F.lit(0.9)).alias("p90"), F.max(good).alias("max"), ratio(F.sum(F.col(error) * F.col(length)), F.sum(length)).alias("weighted_mean"))
+    found = percentiles(points.select(good.alias("_e")), "_e", [0.5, 0.9]).first()
+    median, p90 = (F.first(F.lit(x).cast("double")) for x in (found["p"] if found else (None, None)))
+    return points.agg(F.count(good).alias("usable"), F.avg(good).alias("mean"), median.alias("median"), p90.alias("p90"), F.max(good).alias("max"), ratio(F.sum(F.col(error) * F.col(length)), F.sum(length)).alias("weighted_mean"))
 
 
 def short_track_fraction(lengths: DataFrame, length: str, most: int = 2) -> DataFrame:

@@ -73,8 +73,10 @@ def mismatched(tracks: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def _issue(rows: DataFrame, severity: str, code: str, example) -> DataFrame:
-    found = rows.agg(F.count("*").alias("n"), first_examples(example.cast("string")).alias("message")).where("n > 0")
-    return found.select(F.lit(severity).alias("severity"), F.lit(code).alias("code"), "message", "n")
+    named = rows.select(F.lit(severity).alias("severity"), F.lit(code).alias("code"), example.alias("_example"))
+    keys = ["severity", "code"]
+    counts = named.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counts.join(first_examples(named, keys, "_example", "message"), keys, "left").select(*keys, F.coalesce("message", F.lit("")).alias("message"), "n")
 
 
 def validate(model: dict[str, DataFrame], features: bool = True) -> DataFrame:

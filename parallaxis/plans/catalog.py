@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parallaxis.functions import naming, pose
 from parallaxis.operators import cluster, clouds, components, covisibility, frames, numbering, projection, spatial, stats, subset
+from parallaxis.runtime import cut_lineage
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -62,6 +63,13 @@ def _labels(spark, sf_dir, t=EDGE):
     return covisibility.label_components(covisibility.component_members(_pairs(spark, sf_dir), _images(spark, sf_dir), t))
 
 
+def _near_misses(spark, sf_dir):
+    """Labels and near misses; the pairs are counted once for both."""
+    pairs = cut_lineage(_pairs(spark, sf_dir))
+    labels = cut_lineage(covisibility.label_components(covisibility.component_members(pairs, _images(spark, sf_dir), EDGE)))
+    return labels, covisibility.near_misses(pairs, labels, EDGE)
+
+
 def _boxes(spark):
     return spark.createDataFrame(BOXES, "name STRING, x0 DOUBLE, y0 DOUBLE, z0 DOUBLE, x1 DOUBLE, y1 DOUBLE, z1 DOUBLE")
 
@@ -131,13 +139,12 @@ def component_threshold_curve(spark, sf_dir):
 
 @query(GRAPH + f"select lo, hi, a.component as component_lo, b.component as component_hi, shared from pairs join labels a on a.image = lo join labels b on b.image = hi where shared < {EDGE} and a.component <> b.component")
 def near_miss_pairs(spark, sf_dir):
-    return covisibility.near_misses(_pairs(spark, sf_dir), _labels(spark, sf_dir), EDGE)
+    return _near_misses(spark, sf_dir)[1]
 
 
 @query(GRAPH + f"select a.component as component_a, b.component as component_b from (select distinct component from labels) a join (select distinct component from labels) b on a.component < b.component where not exists (select 1 from pairs join labels x on x.image = lo join labels y on y.image = hi where shared < {EDGE} and x.component = a.component and y.component = b.component)")
 def unlinked_components(spark, sf_dir):
-    labels = _labels(spark, sf_dir)
-    return covisibility.unlinked_components(labels, covisibility.near_misses(_pairs(spark, sf_dir), labels, EDGE))
+    return covisibility.unlinked_components(*_near_misses(spark, sf_dir))
 
 
 _KNN = f"with {Q}, sizes as (select label, count(*) as n from centres group by label), both_ as (select a.label as component_a, b.label as component_b, case when a.n <= b.n then a.label else b.label end as small, case when a.n <= b.n then b.label else a.label end as large from sizes a join sizes b on a.label < b.label), met as (select component_a, component_b, q.vec_id as image, o.vec_id as neighbour, sqrt((q.cx-o.cx)*(q.cx-o.cx)+(q.cy-o.cy)*(q.cy-o.cy)+(q.cz-o.cz)*(q.cz-o.cz)) as distance, degrees(acos(greatest(least(q.dx*o.dx+q.dy*o.dy+q.dz*o.dz, 1.0), -1.0))) as angle from both_ join centres q on q.label = small join centres o on o.label = large), ranked as (select *, row_number() over (partition by component_a, component_b, image order by distance, neighbour) as rank from met)"
@@ -499,13 +506,8 @@ def copy_plan(spark, sf_dir):
     return frames.plan_copies(rows, "grp", "name", ["event_id"], there).select("event_id", "action")
 
 
-@query("select l_orderkey, l_linenumber, row_number() over (order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 as position from lineitem where l_quantity > 45")
-def global_positions(spark, sf_dir):
-    return _positions(read(spark, sf_dir, "lineitem").where("l_quantity > 45"))
-
-
 @query("select l_orderkey, l_linenumber, row_number() over (order by l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 as position from lineitem")
-def global_positions_whole(spark, sf_dir):
+def global_positions(spark, sf_dir):
     return _positions(read(spark, sf_dir, "lineitem"))
 
 
@@ -513,13 +515,8 @@ def _positions(rows):
     return numbering.number_rows(rows, [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")], "position").select("l_orderkey", "l_linenumber", "position")
 
 
-@query("with recursive e as (select o_custkey as s, o_orderkey + 1000000000 as d from orders where o_orderkey % 3 = 0 union all select l_orderkey + 1000000000, l_suppkey + 2000000000 from lineitem where l_partkey % 40 = 0), b as (select distinct s, d from e union select distinct d, s from e), reach(id, o) as (select distinct s, s from b union select r.id, b.d from reach r join b on b.s = r.o) select id, min(o) as component from reach group by id")
-def connected_components(spark, sf_dir):
-    return _linked(read(spark, sf_dir, "orders").where("o_orderkey % 3 = 0"), read(spark, sf_dir, "lineitem").where("l_partkey % 40 = 0"))
-
-
 @query("with recursive e as (select o_custkey as s, o_orderkey + 1000000000 as d from orders union all select l_orderkey + 1000000000, l_suppkey + 2000000000 from lineitem), b as materialized (select distinct s, d from e union select distinct d, s from e), reach(id, component) using key (id) as (select distinct s, s from b union select n.id, n.component from (select b.d as id, min(r.component) as component from reach r join b on b.s = r.id group by b.d) n join recurring.reach k on k.id = n.id where n.component < k.component) select id, component from reach")
-def connected_components_whole(spark, sf_dir):
+def connected_components(spark, sf_dir):
     return _linked(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem"))
 
 
@@ -531,7 +528,7 @@ def _linked(orders, lines):
 
 @query("select o_orderstatus, case when len(k) > 5 then array_to_string(k[1:5], ', ') || ' ... of ' || len(k) else array_to_string(k, ', ') end as examples from (select o_orderstatus, list_sort(list(distinct o_custkey::varchar)) as k from orders group by 1)")
 def issue_examples(spark, sf_dir):
-    return read(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(naming.first_examples(F.col("o_custkey").cast("string")).alias("examples"))
+    return read(spark, sf_dir, "orders").transform(naming.first_examples, ["o_orderstatus"], "o_custkey", "examples")
 
 
 @query("select box, warning from (select l_returnflag || l_linestatus as box, count(*) as points, count(distinct l_suppkey) as images from lineitem group by 1), (values ('too_many_points'), ('too_few_points'), ('too_many_images')) w(warning) where case warning when 'too_many_points' then points > 1200 when 'too_few_points' then points < 100 else images > 9 end")
@@ -552,13 +549,8 @@ def extract_plan(spark, sf_dir):
     return plan_extraction(clips, rules, 4.0, done).select(F.col("path").cast("long").alias("event_id"), "fps", "expected_frames", "state")
 
 
-@query("select model, o_orderkey, sum(n) over (partition by model order by o_orderkey rows unbounded preceding)::bigint as track_end from (select o_orderstatus as model, o_orderkey, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey where o_orderkey % 50 = 0 group by all)")
-def track_offsets(spark, sf_dir):
-    return _offsets(spark, sf_dir, read(spark, sf_dir, "orders").where("o_orderkey % 50 = 0"))
-
-
 @query("select model, o_orderkey, sum(n) over (partition by model order by o_orderkey rows unbounded preceding)::bigint as track_end from (select o_orderstatus as model, o_orderkey, count(l_orderkey) as n from orders left join lineitem on l_orderkey = o_orderkey group by all)")
-def track_offsets_whole(spark, sf_dir):
+def track_offsets(spark, sf_dir):
     return _offsets(spark, sf_dir, read(spark, sf_dir, "orders"))
 
 

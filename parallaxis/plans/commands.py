@@ -9,6 +9,8 @@ import datetime
 import os
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,37 +78,47 @@ def _check(name, severity, passed, detail, remedy=""):
     return (name, severity, bool(passed), detail, remedy)
 
 
-def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settings, out: str | None = None, database: str | None = None, model_name: str | None = None) -> tuple[int, dict]:
+def _unverifiable(reason: str, out: str | None, more: dict | None = None) -> tuple[int, dict]:
+    """Exit code and report of a run that has nothing to judge; the report is written too."""
+    report = {"schema_version": 1, "generated_at": _now(), "status": "unverifiable", "exit_code": UNVERIFIABLE, "reason": reason, **(more or {})}
+    if out:
+        os.makedirs(out, exist_ok=True)
+        files.write_json(report, os.path.join(out, "verify_report.json"))
+    return UNVERIFIABLE, report
+
+
+def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settings=None, out: str | None = None, database: str | None = None, model_name: str | None = None, **flags) -> tuple[int, dict]:
     """Judge reconstructions against their inputs: exit code and report; files go to ``out``.
 
-    ``inputs`` is ``(rel_path)`` of the images given. The report holds
-    counts, profiles and checks only; pairs and rates go to their own files.
+    ``inputs`` is ``(rel_path)`` of the images given; ``settings`` are
+    ``files.Settings`` or a mapping of the keys of section ``verify``, and
+    ``flags`` of those names win over them. The report holds counts, profiles
+    and checks only; pairs and rates go to their own files.
     """
-    report: dict = {"generated_at": _now(), "checks": []}
+    own = files.options("verify", settings, **flags)
+    report: dict = {"schema_version": 1, "generated_at": _now(), "checks": []}
     checks = []
     total = inputs.count()
     if not candidates or not total:
-        report |= {"status": "unverifiable", "reason": "no model" if not candidates else "no input images"}
-        if out:
-            files.write_json(report, os.path.join(out, "verify_report.json"))
-        return UNVERIFIABLE, report
+        return _unverifiable("no model" if not candidates else "no input images", out)
     names = [os.path.basename(p.rstrip("/")) for p in candidates]
-    model = models.read_model(spark, candidates, features=False)
-    model = {k: cut_lineage(v) for k, v in model.items()}
+    try:
+        model = {k: cut_lineage(v) for k, v in models.read_model(spark, candidates, features=False).items()}
+    except (FormatError, PySparkException, Py4JError) as e:
+        return _unverifiable(f"the model could not be read: {str(e).splitlines()[0]}", out)
     issues = [r.asDict() for n in names for r in subset.validate({k: v.where(F.col("model") == n) for k, v in model.items()}, features=False).collect()]
     if any(i["severity"] == "error" for i in issues):
-        report |= {"status": "unverifiable", "reason": "the model contradicts itself", "issues": issues}
-        return UNVERIFIABLE, report
+        return _unverifiable("the model contradicts itself", out, {"issues": issues})
     summary = stats.model_summary(model["images"], model["points"], model["tracks"])
     report["models"] = [r.asDict() for r in summary.orderBy("model").collect()]
     primary = model_name or next((r["model"] for r in report["models"] if r["is_primary"]), None)
     if primary not in names:
-        raise FormatError(f"no model {primary}")
+        return _unverifiable(f"no model {primary}", out)
     images, points, tracks = (model[t].where(F.col("model") == primary) for t in ("images", "points", "tracks"))
     in_database = files.database_image_count(database) if database else None
     strays = inputs.where(naming.inventory_group(F.col("rel_path")) == "<ungrouped>")
     n_strays = strays.count()
-    report["inventory"] = {"total": total, "database_images": in_database, "stray_files": [r[0] for r in strays.select("rel_path").orderBy("rel_path").limit(50).collect()]}
+    report["inventory"] = {"total": total, "database_images": in_database, "per_group": {r["g"]: r["n"] for r in inputs.groupBy(naming.inventory_group(F.col("rel_path")).alias("g")).agg(F.count("*").alias("n")).orderBy("g").collect()}, "stray_files": [r[0] for r in strays.select("rel_path").orderBy("rel_path").limit(50).collect()]}
     if in_database is not None:
         checks.append(_check("database_gap", "warn", in_database >= total, f"{in_database} of {total} images were ingested"))
     checks.append(_check("stray_images", "warn", not n_strays, f"{n_strays} images are outside groups"))
@@ -114,9 +126,9 @@ def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settin
     registered = model["images"].agg(F.countDistinct("name")).first()[0]
     rate = registered / total
     checks.append(_check("non_empty", "fail", report["models"] and images.count() > 0, f"{registered} registered"))
-    checks.append(_check("registration_rate", "fail", rate >= settings.get("min_rate", 0.8), f"{rate:.3f}"))
-    if rate >= settings.get("min_rate", 0.8):
-        checks.append(_check("registration_rate_warn", "warn", rate >= settings.get("warn_rate", 0.95), f"{rate:.3f}"))
+    checks.append(_check("registration_rate", "fail", rate >= own["min_registration_rate"], f"{rate:.3f}"))
+    if rate >= own["min_registration_rate"]:
+        checks.append(_check("registration_rate_warn", "warn", rate >= own["warn_registration_rate"], f"{rate:.3f}"))
     known = model["images"].select("name").distinct()
     by_group = stats.registration(inputs, known, naming.inventory_group(F.col("rel_path")), naming.group_of(F.col("name"), "<ungrouped>"))
     by_clip = stats.registration(inputs, known, naming.clip_key(F.col("rel_path")), naming.clip_key(F.col("name")))
@@ -126,30 +138,30 @@ def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settin
     lengths = cut_lineage(points.join(tracks.groupBy("point3d_id").agg(F.count("*").alias("length")), "point3d_id", "left").select("point3d_id", "x", "y", "z", "error", F.coalesce("length", F.lit(0)).alias("length")))
     errors = stats.error_stats(lengths, "error", "length").first().asDict()
     report["reprojection_error"] = errors if errors["usable"] else None
-    checks.append(_check("reprojection_error", "warn", errors["usable"] and errors["mean"] <= settings.get("max_error", 1.5), "unavailable" if not errors["usable"] else f"mean {errors['mean']:.3f}"))
+    checks.append(_check("reprojection_error", "warn", errors["usable"] and errors["mean"] <= own["warn_mean_reprojection_error"], "unavailable" if not errors["usable"] else f"mean {errors['mean']:.3f}"))
     report["short_track_fraction"] = stats.short_track_fraction(lengths, "length").first()[0]
     seen = cut_lineage(stats.observations_per_image(images, tracks, "image_id", "image_id"))
     report["observations"] = stats.profile(seen, "observations").first().asDict()
-    n_weak = seen.where(F.col("observations") < settings.get("min_observations", 50)).count()
+    n_weak = seen.where(F.col("observations") < own["min_observations_per_image"]).count()
     checks.append(_check("weak_images", "warn", not n_weak, f"{n_weak} images with few observations"))
     posed = cut_lineage(camera_poses(images))
     report["extent"] = stats.extent(posed, ["cx", "cy", "cz"]).first().asDict()
     flat = projection.planarity(posed.select(F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"))).first()
     report["projection"] = flat.asDict() if flat["planarity"] is not None else None
-    threshold = settings.get("min_shared", 25)
-    report["tracks"] = covisibility.track_guard_stats(tracks, "point3d_id", "image_id", settings.get("max_track_length", 300)).first().asDict()
-    pairs = cut_lineage(covisibility.covisible_pairs(tracks, "point3d_id", "image_id", settings.get("max_track_length", 300)))
+    threshold = own["min_common_points"]
+    report["tracks"] = covisibility.track_guard_stats(tracks, "point3d_id", "image_id", own["max_track_length"]).first().asDict()
+    pairs = cut_lineage(covisibility.covisible_pairs(tracks, "point3d_id", "image_id", own["max_track_length"]))
     nodes = images.select(F.col("image_id").alias("image"))
     labels = cut_lineage(covisibility.label_components(covisibility.component_members(pairs, nodes, threshold)))
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
-    large = sizes.where(F.col("size") >= settings.get("min_component", 20)).count()
+    large = sizes.where(F.col("size") >= own["min_component_size"]).count()
     report["components"] = {"count": sizes.count(), "large": large, "largest": [r["size"] for r in sizes.orderBy(F.desc("size")).limit(10).collect()]}
-    report["threshold_curve"] = [r.asDict() for r in covisibility.threshold_curve(pairs, nodes, settings.get("curve", [threshold])).collect()]
+    report["threshold_curve"] = [r.asDict() for r in covisibility.threshold_curve(pairs, nodes, list(own["component_thresholds"])).collect()]
     checks.append(_check("connectivity", "fail", large <= 1, f"{large} separate parts", "capture the boundary between the parts again"))
     misses = covisibility.near_misses(pairs, labels, threshold)
     open_pairs = covisibility.unlinked_components(labels, misses)
     located = posed.join(labels, posed["image_id"] == labels["image"]).select("image", "component", "cx", "cy", "cz", "dx", "dy", "dz")
-    spatial_pairs = covisibility.nearest_across(located, settings.get("neighbours", 3), settings.get("max_angle", 90.0), open_pairs)
+    spatial_pairs = covisibility.nearest_across(located, own["spatial_neighbors_per_image"], own["max_view_angle_deg"], open_pairs)
     none = F.lit(None).cast("double")
     both = misses.select(F.col("lo").alias("a"), F.col("hi").alias("b"), F.col("component_lo").alias("component_a"), F.col("component_hi").alias("component_b"), F.col("shared").alias("shared_points"), none.alias("distance"), none.alias("view_angle_deg"), F.lit("shared_points").alias("source"))
     both = both.unionByName(spatial_pairs.select(F.col("image").alias("a"), F.col("neighbour").alias("b"), "component_a", "component_b", F.lit(0).cast("long").alias("shared_points"), "distance", "view_angle_deg", F.lit("spatial").alias("source")))
@@ -158,9 +170,9 @@ def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settin
     matched = files.matched_pairs(spark, database, images) if database else None
     if matched is not None:
         matched = matched.select(F.col("a").alias("name_a"), F.col("b").alias("name_b"))
-    both = covisibility.split_matched(both, matched, "name_a", "name_b")
-    picked = cut_lineage(covisibility.interleave(both, ["component_a", "component_b"], ["source", F.desc("shared_points"), F.asc_nulls_last("distance"), "a", "b"], settings.get("per_pair", 50), settings.get("max_candidates", 500)))
-    report["candidates"] = picked.count()
+    both = cut_lineage(covisibility.split_matched(both, matched, "name_a", "name_b"))
+    picked = cut_lineage(pick_candidates(both, own["pairs_per_component_pair"], own["max_pair_candidates"]))
+    report["candidates"] = {"boundary_pairs": both.count(), "already_matched": both.where("already_matched").count(), "selected": picked.count()}
     judged = spark.createDataFrame(checks, "name STRING, severity STRING, passed BOOLEAN, detail STRING, remediation STRING")
     result = stats.verdict(judged).first()
     report |= {"status": "passed" if result["passed"] else "failed", "warnings": result["warnings"], "checks": [r.asDict() for r in judged.collect()], "issues": issues}
@@ -168,14 +180,25 @@ def verify(spark: SparkSession, candidates: list[str], inputs: DataFrame, settin
         os.makedirs(out, exist_ok=True)
         files.write_json(report, os.path.join(out, "verify_report.json"))
         files.write_csv(by_group, os.path.join(out, "registration_by_group.csv"))
-        files.write_csv(picked, os.path.join(out, "boundary_candidates.csv"))
-        new = picked.where("already_matched is null or not already_matched").select(F.concat_ws(" ", F.least("name_a", "name_b"), F.greatest("name_a", "name_b")).alias("line")).distinct()
+        files.write_csv(both.orderBy("component_a", "component_b", *_strongest()), os.path.join(out, "boundary_candidates.csv"))
+        new = picked.select(F.concat_ws(" ", F.least("name_a", "name_b"), F.greatest("name_a", "name_b")).alias("line")).distinct()
         files.write_lines(new, os.path.join(out, "candidate_pairs.txt"))
         for n in names if len(names) > 1 else []:
             files.write_lines(model["images"].where(F.col("model") == n).select("name"), os.path.join(out, f"model_{n}_images.txt"))
     return (OK if result["passed"] else FAILED), report
 
 
+def _strongest() -> list:
+    """Order of candidates of two components: shared points first, the nearest next."""
+    return ["source", F.desc_nulls_last("shared_points"), F.asc_nulls_last("distance"), "a", "b"]
+
+
+def pick_candidates(pairs: DataFrame, per_pair: int, most: int) -> DataFrame:
+    """Pairs to match next: those that aren't matched yet, in turns over the components' pairs, ``most`` in all."""
+    new = pairs.where("already_matched is null or not already_matched")
+    return covisibility.interleave(new, ["component_a", "component_b"], _strongest(), per_pair, most)
+
+
 def suggest(model: dict[str, DataFrame], method: str = "dbscan", eps: float = 1.0, min_samples: int = 5, k: int = 4, trim: float = 2.0, padding: float = 0.5) -> DataFrame:
     """Boxes proposed by clustering camera centres and letting tracks vote on points."""
     posed = camera_poses(model["images"]).select("image_id", F.col("cx").alias("x"), F.col("cy").alias("y"), F.col("cz").alias("z"))
@@ -185,17 +208,20 @@ def suggest(model: dict[str, DataFrame], method: str = "dbscan", eps: float = 1.
     return cluster.suggest_boxes(posed.join(labels, F.col("image_id") == F.col("id")), model["points"].join(voted, "point3d_id"), trim=trim, padding=padding)
 
 
-def chunk(model: dict[str, DataFrame], boxes: DataFrame, margin: float, least: int, out: str | None = None) -> tuple[int, dict]:
+def chunk(model: dict[str, DataFrame], boxes: DataFrame, margin: float | None = None, least: int | None = None, out: str | None = None, settings=None) -> tuple[int, dict]:
     """Cut one model into the boxes' sub-models, all at once; writes each with a manifest, and an index.
 
     A box without images or points fails alone. Orphans are points in no box
-    itself (not grown by the margin).
+    itself (not grown by the margin). ``margin`` and ``least`` win over the
+    settings' section ``chunk``.
     """
+    own = files.options("chunk", settings, point_margin=margin, min_points_in_box=least)
+    margin, least = own["point_margin"], own["min_points_in_box"]
     cameras = camera_poses(model["images"]).select("image_id", "cx", "cy", "cz")
     picked, held = (cut_lineage(x) for x in spatial.select_for_boxes(model["points"], model["tracks"], cameras, boxes, margin, least))
     n_images = {r["box"]: r["n"] for r in picked.groupBy("box").agg(F.count("*").alias("n")).collect()}
     n_points = {r["box"]: r["n"] for r in held.groupBy("box").agg(F.count("*").alias("n")).collect()}
-    parts = subset.subset_model(model, picked.select("box", "image_id"), held)
+    parts = subset.subset_model(model, picked.select("box", "image_id"), held, own["min_track_length"])
     index, failed = [], []
     for box in boxes.orderBy("name").collect():
         name = box["name"]
@@ -216,25 +242,33 @@ def chunk(model: dict[str, DataFrame], boxes: DataFrame, margin: float, least: i
     return (FAILED if failed else OK if index else UNVERIFIABLE), report
 
 
-def merge(spark: SparkSession, root: str, cloud_name: str, path: str, margin: float = 0.0) -> tuple[int, dict]:
-    """Crop every trained chunk below ``root`` to its box and write one cloud.
+def merge(spark: SparkSession, root: str, cloud_name: str | None = None, path: str | None = None, margin: float | None = None, crop: bool = True, settings=None) -> tuple[int, dict]:
+    """Crop every trained chunk below ``root`` to its box (unless ``crop`` is off) and write one cloud.
 
     Untrained or unreadable manifests are problems that don't stop the rest;
-    an unreadable cloud makes the exit code 1, but the others are written.
+    an unreadable cloud, or a box that the margin inverts, makes the exit code
+    1, but the others are written. The header keeps the first cloud's comments.
     """
-    found, problems = files.load_manifests(root, cloud_name)
-    chunks, bad = [], []
+    own = files.options("merge", settings, ply_name=cloud_name, crop_margin=margin)
+    found, problems = files.load_manifests(root, own["ply_name"])
+    chunks, bad, comments = [], [], None
     for row in found:
         try:
-            chunks.append((row, ply.read_ply(spark, row["cloud"])))
-        except (FormatError, OSError) as e:
-            bad.append(str(e))
+            cloud = ply.read_ply(spark, row["cloud"])
+            if crop:
+                spatial.crop(cloud, row, own["crop_margin"])
+            own_comments = ply.read_header(row["cloud"])["comments"]
+        except (FormatError, OSError, ValueError) as e:
+            bad.append(f"{row['name']}: {e}")
+            continue
+        chunks.append((row, cloud))
+        comments = own_comments if comments is None else comments
     if not chunks:
         return UNVERIFIABLE if not bad else FAILED, {"problems": problems + bad}
     try:
-        cloud, counts = clouds.merge_clouds(chunks, margin)
+        cloud, counts = clouds.merge_clouds(chunks, own["crop_margin"], crop)
     except ValueError as e:
         return FAILED, {"problems": [*problems, *bad, str(e)]}
     rows = [r.asDict() for r in counts.orderBy("chunk").collect()]
-    written = ply.write_ply(cloud, path, ["merged"])
+    written = ply.write_ply(cloud, path or os.path.join(root, own["output_name"]), [*comments, "merged"])
     return (FAILED if bad else OK), {"problems": problems + bad, "chunks": rows, "written": written, "before": reduce(lambda a, r: a + r["before"], rows, 0)}

@@ -172,50 +172,84 @@ class Override:
     window_size: int | None = None
 
 
-@dataclasses.dataclass
+#: The sections of the settings file, their keys and defaults.
+DEFAULTS = {
+    "paths": {"input_video_dir": "input/video", "input_photo_dir": "input/photos", "workdir": "work", "output_dir": "output"},
+    "extract": {"fps": 4.0, "max_dimension": 3840, "video_extensions": (".mp4", ".mov", ".hevc"), "workers": 4},
+    "select": {"target_min": 4000, "target_max": 5500, "blur_threshold": 100.0, "window_size": 4, "workers": 4},
+    "organize": {"group_by_camera_model": True, "photo_extensions": (".jpg", ".jpeg", ".png"), "suspicious_min_images": 20},
+    "sfm": {"matcher": "sequential", "camera_model": "OPENCV", "use_gpu": False, "vocab_tree_path": "vocab_tree.bin"},
+    "verify": {"min_registration_rate": 0.90, "warn_registration_rate": 0.95, "min_common_points": 30, "min_component_size": 10, "min_observations_per_image": 50, "warn_mean_reprojection_error": 1.5, "component_thresholds": (5, 10, 15, 30, 50, 100), "max_track_length": 300, "max_pair_candidates": 500, "pairs_per_component_pair": 50, "spatial_neighbors_per_image": 3, "max_view_angle_deg": 90.0, "image_extensions": (".jpg", ".jpeg", ".png"), "plot": True, "plot_dpi": 150},
+    "chunk": {"max_images_per_chunk": 1500, "overlap": 100, "min_points_in_box": 50, "point_margin": 0.0, "min_track_length": 2, "target_gaussians_min": 500_000, "target_gaussians_max": 1_500_000, "suggest_method": "dbscan", "suggest_eps": 1.5, "suggest_min_samples": 10, "suggest_clusters": 8, "suggest_percentile": 2.0, "suggest_padding": 0.25},
+    "merge": {"crop_margin": 0.25, "ply_name": "point_cloud.ply", "output_name": "merged.ply"},
+    "logging": {"level": "INFO", "log_dir": "logs"},
+}
+
+
+def _typed(value, default, where: str):
+    """``value`` in the type of ``default``; whole numbers pass for floats, lists for tuples of the default's items."""
+    if isinstance(default, tuple):
+        if not isinstance(value, (list, tuple)):
+            raise ValueError(f"{where} must be a list")
+        return tuple(_typed(v, default[0], f"{where}[{n}]") for n, v in enumerate(value))
+    if isinstance(default, float) and isinstance(value, int) and not isinstance(value, bool):
+        return float(value)
+    if type(value) is not type(default):
+        raise ValueError(f"{where} must be {type(default).__name__}")
+    return value
+
+
 class Settings:
-    """Settings with their defaults; unknown keys are refused, types follow the defaults."""
-
-    fps: float = 4.0
-    window_size: int = 4
-    blur_threshold: float = 100.0
-    min_shared: int = 25
-    max_track_length: int = 300
-    min_component: int = 20
-    min_in_box: int = 100
-    margin: float = 0.0
-    suspicious_min_images: int = 20
-    overrides: list = dataclasses.field(default_factory=list)
+    """All commands' settings, by section; unknown sections and keys are refused, types follow the defaults."""
+
+    def __init__(self, values: dict | None = None, where: str = "settings"):
+        self.sections = {name: dict(keys) for name, keys in DEFAULTS.items()}
+        self.overrides: list[Override] = []
+        for name, given in (values or {}).items():
+            if name == "overrides":
+                self.overrides = [self._override(x, f"{where}.overrides[{n}]") for n, x in enumerate(given or ())]
+                continue
+            if name not in self.sections:
+                raise ValueError(f"unknown settings: {where}.{name}")
+            if not isinstance(given or {}, dict):
+                raise ValueError(f"{where}.{name} must be a section")
+            for key, value in (given or {}).items():
+                if key not in self.sections[name]:
+                    raise ValueError(f"unknown settings: {where}.{name}.{key}")
+                self.sections[name][key] = _typed(value, self.sections[name][key], f"{where}.{name}.{key}")
+
+    @staticmethod
+    def _override(row, where: str) -> Override:
+        if not isinstance(row, dict) or set(row) - {f.name for f in dataclasses.fields(Override)}:
+            raise ValueError(f"unknown settings: {where}")
+        kinds = {"path": "", "fps": 0.0, "window_size": 0}
+        return Override(**{"path": ""} | {k: None if v is None else _typed(v, kinds[k], f"{where}.{k}") for k, v in row.items()})
 
     @classmethod
     def from_yaml(cls, path: str) -> Settings:
         import yaml
 
         with open(path, encoding="utf-8") as f:
-            return cls.from_dict(yaml.safe_load(f) or {})
+            return cls(yaml.safe_load(f) or {}, path)
 
     @classmethod
     def from_dict(cls, values: dict) -> Settings:
-        known = {f.name: f for f in dataclasses.fields(cls)}
-        strange = sorted(set(values) - set(known))
-        if strange:
-            raise ValueError(f"unknown settings: {', '.join(strange)}")
-        out = cls()
-        for k, v in values.items():
-            if k == "overrides":
-                v = [Override(**x) for x in v]
-            elif isinstance(getattr(out, k), float) and isinstance(v, int):
-                v = float(v)
-            elif type(v) is not type(getattr(out, k)):
-                raise ValueError(f"{k} must be {type(getattr(out, k)).__name__}")
-            setattr(out, k, v)
-        return out
+        return cls(values)
 
     def overrides_table(self, spark: SparkSession) -> DataFrame:
         rows = [(o.path, n, o.fps, o.window_size) for n, o in enumerate(self.overrides)]
         return spark.createDataFrame(rows, "path STRING, declared INT, fps DOUBLE, window_size INT")
 
 
+def options(section: str, settings=None, **flags) -> dict:
+    """One command's options: flags that aren't None, over the settings (or a plain mapping of the section's keys), over the defaults."""
+    given = settings.sections[section] if isinstance(settings, Settings) else Settings({section: dict(settings or {})}).sections[section]
+    strange = sorted(set(flags) - set(given))
+    if strange:
+        raise ValueError(f"unknown settings: {', '.join(strange)}")
+    return given | {k: _typed(v, DEFAULTS[section][k], k) for k, v in flags.items() if v is not None}
+
+
 def write_frame_report(frames: DataFrame, directory: str) -> None:
     """Scored frames as CSV in (folder, clip, index) order, scores with four digits, booleans spelled out."""
     flag = lambda c: F.when(F.col(c), "True").otherwise("False").alias(c)

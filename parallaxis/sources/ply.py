@@ -69,6 +69,12 @@ def spark_schema(properties) -> T.StructType:
     return T.StructType([T.StructField(n, KINDS[k][1], True, {"ply": KINDS[k][0]}) for n, k in properties])
 
 
+def read_header(path: str) -> dict:
+    """The header of a cloud file (see ``parse_header``)."""
+    with open(path.removeprefix("file://"), "rb") as f:
+        return parse_header(f.read(1 << 20), path)
+
+
 def read_ply(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a cloud, file order in ``_row`` dropped by selecting; splits are row ranges of fixed stride.
 
@@ -77,8 +83,7 @@ def read_ply(spark: SparkSession, path: str) -> DataFrame:
     one task's.
     """
     local = path.removeprefix("file://")
-    with open(local, "rb") as f:
-        head = parse_header(f.read(1 << 20), path)
+    head = read_header(path)
     kinds = np.dtype([(n, ORDERS[head["format"]] + KINDS[k][0]) for n, k in head["properties"]])
     fields = spark_schema(head["properties"])
     ascii_ = head["format"] == "ascii"

@@ -1,3 +1,9 @@
+import itertools
+import math
+import random
+from collections import Counter
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -8,35 +14,57 @@ def tracks(spark, lists):
     return spark.createDataFrame([(p, i) for p, images in enumerate(lists) for i in images], "p LONG, i LONG")
 
 
-def pairs_of(spark, lists, most=300):
-    return {(r.lo, r.hi): r.shared for r in covisibility.covisible_pairs(tracks(spark, lists), "p", "i", most).collect()}
+def images(spark, ids):
+    return spark.createDataFrame([(i,) for i in ids], "image LONG")
 
 
-def test_pairs_count_shared_points_once(spark):
-    assert pairs_of(spark, [[1, 2], [1, 2], [2, 3]]) == {(1, 2): 2, (2, 3): 1}
-    assert pairs_of(spark, [[1, 1, 2]]) == {(1, 2): 1}
-    assert pairs_of(spark, [[]]) == {}
+def generated(seed, points=120, n_images=14):
+    """Random tracks, with repeats, over images in three rooms that few points join."""
+    rnd = random.Random(seed)
+    lists = []
+    for _ in range(points):
+        room = rnd.randrange(3)
+        pool = [i for i in range(n_images) if i % 3 == room or rnd.random() < 0.05]
+        lists.append([rnd.choice(pool) for _ in range(rnd.randint(0, 7))])
+    return lists
 
 
-def test_long_tracks_are_skipped_and_counted(spark):
-    lists = [list(range(1, 11)), [1, 2]]
-    assert pairs_of(spark, lists, 5) == {(1, 2): 1}
-    row = covisibility.track_guard_stats(tracks(spark, lists), "p", "i", 5).first()
-    assert (row.longest_track, row.skipped_long_tracks) == (10, 1)
+def brute_pairs(lists, most):
+    found = Counter()
+    for images_ in lists:
+        own = sorted(set(images_))
+        if len(own) <= most:
+            found.update(itertools.combinations(own, 2))
+    return found
 
 
-def images(spark, ids):
-    return spark.createDataFrame([(i,) for i in ids], "image LONG")
+@pytest.mark.parametrize(("seed", "most"), [(0, 300), (1, 4), (2, 2)])
+def test_pairs_equal_counting_every_combination(spark, seed, most):
+    lists = generated(seed)
+    got = {(r.lo, r.hi): r.shared for r in covisibility.covisible_pairs(tracks(spark, lists), "p", "i", most).collect()}
+    assert got == brute_pairs(lists, most)
+    row = covisibility.track_guard_stats(tracks(spark, lists), "p", "i", most).first()
+    sizes = [len(set(x)) for x in lists]
+    assert (row.longest_track, row.skipped_long_tracks) == (max(sizes), sum(n > most for n in sizes))
+
+
+def test_curve_and_near_misses_equal_brute_force(spark):
+    lists, nodes = generated(5), list(range(14))
+    shared = brute_pairs(lists, 300)
+    pairs = covisibility.covisible_pairs(tracks(spark, lists), "p", "i")
 
+    def rooms(t):
+        found = naive([p for p, n in shared.items() if n >= t])
+        return {i: found.get(i, i) for i in nodes}
 
-def test_curve_and_near_misses(spark):
-    t = tracks(spark, [[1, 2]] * 10 + [[3, 4]] * 10 + [[2, 3]] * 4 + [[1, 4]])
-    pairs = covisibility.covisible_pairs(t, "p", "i")
-    nodes = images(spark, [1, 2, 3, 4])
-    curve = covisibility.threshold_curve(pairs, nodes, [2, 5, 20])
-    assert [tuple(r) for r in curve.orderBy("threshold").collect()] == [(2, 1), (5, 2), (20, 4)]
-    labels = covisibility.label_components(covisibility.component_members(pairs, nodes, 6))
-    assert [r.shared for r in covisibility.near_misses(pairs, labels, 6).collect()] == [4, 1]
+    thresholds = sorted({1, 2, max(shared.values()) // 2, max(shared.values()) + 1})
+    curve = covisibility.threshold_curve(pairs, images(spark, nodes), thresholds)
+    assert {r.threshold: r.components for r in curve.collect()} == {t: len(set(rooms(t).values())) for t in thresholds}
+    t = thresholds[2]
+    labels = covisibility.label_components(covisibility.component_members(pairs, images(spark, nodes), t))
+    root = rooms(t)
+    want = sorted((-n, *p) for p, n in shared.items() if n < t and root[p[0]] != root[p[1]])
+    assert want and [(-r.shared, r.lo, r.hi) for r in covisibility.near_misses(pairs, labels, t).collect()] == want
 
 
 def test_labels_are_largest_first_then_smallest_id(spark):
@@ -49,12 +77,27 @@ def centres(spark, rows):
     return spark.createDataFrame(rows, "image LONG, component LONG, cx DOUBLE, cy DOUBLE, cz DOUBLE, dx DOUBLE, dy DOUBLE, dz DOUBLE")
 
 
-def test_nearest_across_and_angle(spark):
-    rows = [(k, c, float(x), 0.0, 0.0, 0.0, 0.0, 1.0) for k, (x, c) in enumerate([(0, 0), (1, 0), (10, 1), (50, 1)])]
-    best = covisibility.nearest_across(centres(spark, rows), 1).orderBy("distance").first()
-    assert ({best.image, best.neighbour}, best.distance) == ({1, 2}, 9.0)
-    facing = [(0, 0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0), (1, 1, 0.3, 0.0, 0.0, 0.0, 0.0, -1.0)]
-    assert covisibility.nearest_across(centres(spark, facing), 1, 90.0).count() == 0
+def test_nearest_across_equals_measuring_every_distance(spark):
+    rnd = random.Random(7)
+    rows = [(k, k % 3 if k < 9 else 2, *(rnd.uniform(-5, 5) for _ in range(3)), *random_direction(rnd)) for k in range(17)]
+    size = Counter(r[1] for r in rows)
+    want = {}
+    for a, b in itertools.combinations(sorted(size), 2):
+        small, large = (a, b) if size[a] <= size[b] else (b, a)
+        for q in (r for r in rows if r[1] == small):
+            near = sorted((math.dist(q[2:5], n[2:5]), n[0], n) for n in rows if n[1] == large)[:2]
+            for d, other, n in near:
+                angle = math.degrees(math.acos(max(-1, min(1, sum(x * y for x, y in zip(q[5:], n[5:], strict=True))))))
+                want[a, b, q[0], other] = (round(d, 9), angle)
+    got = {(r.component_a, r.component_b, r.image, r.neighbour): round(r.distance, 9) for r in covisibility.nearest_across(centres(spark, rows), 2).collect()}
+    assert got == {k: d for k, (d, _) in want.items()}
+    facing = {(r.component_a, r.component_b, r.image, r.neighbour) for r in covisibility.nearest_across(centres(spark, rows), 2, 70.0).collect()}
+    assert facing == {k for k, (_, angle) in want.items() if angle <= 70.0} and len(facing) < len(want)
+
+
+def random_direction(rnd):
+    v = [rnd.gauss(0, 1) for _ in range(3)]
+    return [x / math.hypot(*v) for x in v]
 
 
 def naive(edges):

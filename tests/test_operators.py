@@ -168,3 +168,22 @@ def test_sharpness_orders_images():
     rng = np.random.default_rng(0)
     noisy, flat = rng.integers(0, 255, (20, 20)), np.full((20, 20), 7)
     assert sharpness.laplacian_variance(noisy) > sharpness.laplacian_variance(flat) == 0
+
+
+def test_percentiles_by_rank_equal_those_of_numpy(spark, monkeypatch):
+    from parallaxis.operators import clouds, numbering
+
+    rng = np.random.default_rng(2)
+    rows = [(int(k % 3), float(v)) for k, v in enumerate(np.round(rng.normal(size=200), 1))] + [(3, 5.0), (4, None)]
+    df = spark.createDataFrame(rows, "g INT, v DOUBLE").repartition(3)
+    shares = [0.0, 0.02, 0.5, 0.95, 1.0]
+    for few in (1 << 16, 0):
+        monkeypatch.setattr(numbering, "FEW_VALUES", few)
+        got = {r.g: r.p for r in numbering.percentiles(df, "v", shares, ["g"]).collect()}
+        assert set(got) == {0, 1, 2, 3}
+        for g in got:
+            assert np.allclose(got[g], np.quantile([v for k, v in rows if k == g], shares))
+        assert np.allclose(numbering.percentiles(df, "v", shares).first().p, np.quantile([v for _, v in rows if v is not None], shares))
+        assert numbering.percentiles(df.limit(0), "v", shares).count() == 0
+    ends = {r.k: (r.track_start, r.track_end) for r in clouds.track_offsets(spark.createDataFrame([(k, k % 4) for k in range(50)], "k LONG, n LONG"), "k", "n").collect()}
+    assert ends == {k: (sum(j % 4 for j in range(k)), sum(j % 4 for j in range(k + 1))) for k in range(50)}

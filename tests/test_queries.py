@@ -5,7 +5,7 @@ from parallaxis.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels")
-CHOSEN = ["covisible_pairs_capped", "component_sizes", "bridge_knn", "already_matched_split", "error_stats", "registration_by_clip", "dead_and_weak_groups", "model_summary", "window_select_override", "override_by_url_prefix", "frame_name_parse", "points_in_boxes", "box_selection", "subset_features_nulled", "view_directions", "validate_bidirectional", "majority_vote", "suggested_boxes", "crop_counts", "copy_plan", "global_positions"]
+CHOSEN = ["covisible_pairs_capped", "component_sizes", "bridge_knn", "already_matched_split", "error_stats", "registration_by_clip", "dead_and_weak_groups", "model_summary", "window_select_override", "override_by_url_prefix", "frame_name_parse", "points_in_boxes", "box_selection", "subset_features_nulled", "view_directions", "validate_bidirectional", "majority_vote", "suggested_boxes", "crop_counts", "copy_plan", "issue_examples", "trimmed_bounds", "observation_profile"]
 
 
 @pytest.fixture(scope="module")
@@ -29,8 +29,8 @@ def test_query_equals_sql(spark, con, name):
     assert plain(got.collect()) == plain(want)
 
 
-@pytest.mark.parametrize("name, table", [("track_offsets_whole", "orders"), ("global_positions_whole", "lineitem")])
-def test_whole_tables_get_offsets_and_positions(spark, con, name, table):
+@pytest.mark.parametrize("name, table", [("track_offsets", "orders"), ("global_positions", "lineitem")])
+def test_tables_get_offsets_and_positions(spark, con, name, table):
     got = catalog.queries()[name](spark, SF)
     rows = sorted(map(tuple, got.collect()))
     assert len(rows) == con.execute(f"select count(*) from {table}").fetchone()[0]
@@ -46,13 +46,13 @@ def test_offsets_and_positions_of_a_small_fixture(spark, tmp_path):
     for k, model in orders:
         ends[model] = ends.get(model, 0) + sum(line[0] == k for line in lines)
         want.append((model, k, ends[model]))
-    assert sorted(map(tuple, catalog.queries()["track_offsets_whole"](spark, tmp_path).collect())) == sorted(want)
+    assert sorted(map(tuple, catalog.queries()["track_offsets"](spark, tmp_path).collect())) == sorted(want)
     ranked = sorted(lines, key=lambda x: (-x[2], *x[:2]))
-    assert sorted(map(tuple, catalog.queries()["global_positions_whole"](spark, tmp_path).collect())) == sorted((*x[:2], n) for n, x in enumerate(ranked))
+    assert sorted(map(tuple, catalog.queries()["global_positions"](spark, tmp_path).collect())) == sorted((*x[:2], n) for n, x in enumerate(ranked))
 
 
-def test_components_of_whole_tables(spark, con, tmp_path):
-    query, sql = catalog.queries()["connected_components_whole"], catalog.oracle_sql()["connected_components_whole"]
+def test_components_of_tables(spark, con, tmp_path):
+    query, sql = catalog.queries()["connected_components"], catalog.oracle_sql()["connected_components"]
     got = sorted(map(tuple, query(spark, SF).collect()))
     assert got == sorted(con.execute(f"select id, component from ({sql})").fetchall())
     ends = "select o_custkey as v from orders union select o_orderkey + 1000000000 from orders union select l_orderkey + 1000000000 from lineitem union select l_suppkey + 2000000000 from lineitem"
