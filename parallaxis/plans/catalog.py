@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parallaxis.functions import naming, pose
 from parallaxis.operators import cluster, clouds, components, covisibility, frames, numbering, projection, spatial, stats, subset
+from parallaxis.plans import round_trips
 from parallaxis.runtime import cut_lineage
 
 _QUERIES: dict = {}
@@ -36,11 +37,11 @@ def query(sql: str | None = None):
 
 
 def queries():
-    return dict(_QUERIES)
+    return _QUERIES | round_trips.QUERIES
 
 
 def oracle_sql():
-    return dict(_SQL)
+    return _SQL | round_trips.SQL
 
 
 def read(spark, sf_dir, name):

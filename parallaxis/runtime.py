@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +28,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return it without its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the checkpoint folder, as a plain path: for files that the driver writes and executors read."""
+    ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    path = re.sub(r"^file:/*", "/", base)
+    if "://" in path:
+        raise RuntimeError(f"{base}: the binary files need a folder that is mounted")
+    path = os.path.join(path, f"{name}-{uuid.uuid4().hex}")
+    os.makedirs(path)
+    return path

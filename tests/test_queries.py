@@ -1,11 +1,11 @@
 import duckdb
 import pytest
 
-from parallaxis.plans import catalog
+from parallaxis.plans import catalog, round_trips
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels")
-CHOSEN = ["covisible_pairs_capped", "component_sizes", "bridge_knn", "already_matched_split", "error_stats", "registration_by_clip", "dead_and_weak_groups", "model_summary", "window_select_override", "override_by_url_prefix", "frame_name_parse", "points_in_boxes", "box_selection", "subset_features_nulled", "view_directions", "validate_bidirectional", "majority_vote", "suggested_boxes", "crop_counts", "copy_plan", "issue_examples", "trimmed_bounds", "observation_profile"]
+TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels")
+CHOSEN = ["covisible_pairs_capped", "component_sizes", "bridge_knn", "already_matched_split", "error_stats", "registration_by_clip", "dead_and_weak_groups", "model_summary", "window_select_override", "override_by_url_prefix", "frame_name_parse", "points_in_boxes", "box_selection", "subset_features_nulled", "view_directions", "validate_bidirectional", "majority_vote", "suggested_boxes", "crop_counts", "copy_plan", "issue_examples", "trimmed_bounds", "observation_profile", *round_trips.QUERIES]
 
 
 @pytest.fixture(scope="module")
