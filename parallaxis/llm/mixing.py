@@ -205,7 +205,7 @@ mixed as (select s, pass, k, shards, (k % {PRIME} * 16807 + (s + 1) * 69621 + (p
 dealt as (select s, pass, shard, row_number() over (partition by s, pass order by shard) - 1 as slot from (select s, pass, (m * m % {PRIME} * 48271 + 13) % {PRIME} % shards as shard from mixed)),
 takes as (select s, shard, block, least(len, due - (upto - len)) as words from timed join dealt using (s, pass, slot) where due > upto - len),
 spans as (select s, pos, size, unnest(range(pos // {BLOCK}, (pos + size - 1) // {BLOCK} + 1)) as block from placed where size > 0),
-some as (select s, pos, shard, sum(greatest(0, least(pos + size, block * {BLOCK} + words) - greatest(pos, block * {BLOCK})))::bigint as taken from spans join takes using (s, block) group by s, pos, shard),
-got as (select s, pos, sum(taken)::bigint as taken, string_agg(shard || ':' || taken, ' ' order by shard) as shards from some where taken > 0 group by s, pos)
+parts as (select s, pos, shard, sum(greatest(0, least(pos + size, block * {BLOCK} + words) - greatest(pos, block * {BLOCK})))::bigint as taken from spans join takes using (s, block) group by s, pos, shard),
+got as (select s, pos, sum(taken)::bigint as taken, string_agg(shard || ':' || taken, ' ' order by shard) as shards from parts where taken > 0 group by s, pos)
 select doc_id, size, source_size, target, case when size > 0 then coalesce(taken, 0) else 0 end::bigint as taken, case when size > 0 then coalesce(shards, '') else '' end as shards from placed left join got using (s, pos)
 """
