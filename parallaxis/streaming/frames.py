@@ -6,8 +6,6 @@ its clip falls silent. State is one window a clip.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -25,12 +23,11 @@ def select_streaming(frames: DataFrame, size: int, threshold: float, silence_ms:
         if state.hasTimedOut:
             if seen:
                 rows.append((key[0], window, best, top, top >= threshold))
-                window += 1
-            state.update((window, 0, None, None))  # a late frame opens the next window
+            state.remove()
         else:
             found = pd.concat(list(batches)).sort_values("frame_index", kind="stable")
             for index, score in zip(found["frame_index"], found["score"], strict=True):
-                if best is None or score > top or (math.isnan(top) and not math.isnan(score)):
+                if best is None or score > top:
                     best, top = int(index), float(score)
                 seen += 1
                 if seen >= size:
