@@ -14,11 +14,16 @@ what a table that every executor holds may have (``MOST_OWN``,
 Training texts are written once as class numbers, laid out for the
 recursions. States start from expectation-maximisation on at most
 ``SEED_ROWS`` texts, go on over every sixteenth and every fourth text (by
-hashed id), and then over all training texts: each round runs scaled forward-backward over every
-text, and the partitions' expected counts are summed by Spark, until a round
-raises the log-likelihood by no more than ``TOLERANCE`` of itself. Scoring is
-the scaled forward recursion over the whole text in double precision: the
-exact probability, not a bound or a best path.
+hashed id), and then over all training texts. A round runs scaled
+forward-backward over its texts, and the partitions' expected counts are summed
+by Spark. Over all texts it goes block by block, a quarter of the texts each:
+the counts of a block take the place of its earlier ones, and the model is
+made anew from the counts of all blocks (incremental expectation-maximisation,
+Neal and Hinton 1998, whose fixed points are those of rounds over all texts
+at once). Rounds go on until one over all its texts raises the log-likelihood
+by no more than ``TOLERANCE`` of itself. Scoring is the scaled forward
+recursion over the whole text in double precision: the exact probability, not
+a bound or a best path.
 
 A text of n words is trained on in one piece, at about 120 n bytes; scoring
 keeps no states, so it takes about 20 n.
@@ -43,10 +48,12 @@ OWN, MOST_OWN, PER_OWN = 8192, 57_344, 128
 #: Shared classes, powers of two: at least, at most, and distinct words for each.
 SHARED, MOST_SHARED, PER_SHARED = 256, 4096, 4096
 SEED_ROWS, SEED_ROUNDS, TOLERANCE = 512, 12, 1e-4
-#: One text in so many, by hashed id, is in the rounds before those over all.
-EARLY = (16, 4)
+#: Blocks of training texts by hashed id, in sixteenths: the first is one text in 16, with the second it is one in 4.
+BLOCKS = (1, 3, 4, 4, 4)
 #: Tokens of a batch that run in lock step, and classes of a row of expected counts.
 TOKENS, ROW = 1 << 20, 4096
+#: Bytes of text that are laid out together, texts of a step that is worth its own products, and tokens of a product over many steps.
+LAID_OUT, FEW, STRETCH = 32 << 20, 256, 1 << 14
 
 
 def tokens(texts: pa.Array):
@@ -168,28 +175,43 @@ def expected_counts(model, active, observed, classes: int):
     turn = np.ascontiguousarray(move.T)
     edge = np.concatenate([[0], np.cumsum(active)]).tolist()
     state, scales = np.empty_like(seen), np.empty(n_tokens, seen.dtype)
+    before = 0
     for t, n in enumerate(active.tolist()):
-        now = state[:, edge[t] : edge[t + 1]]
+        begin, end = edge[t], edge[t + 1]
+        now = state[:, begin:end]
         if t:
-            np.matmul(turn, state[:, edge[t - 1] : edge[t - 1] + n], out=now)
+            np.matmul(turn, state[:, before : before + n], out=now)
         else:
             now[:] = first[:, None]
-        now *= seen[:, edge[t] : edge[t + 1]]
-        scale = now.sum(0)
-        now /= scale
-        scales[edge[t] : edge[t + 1]] = scale
+        now *= seen[:, begin:end]
+        now /= np.add.reduce(now, 0, out=scales[begin:end])
+        before = begin
+    # going back, ``seen`` becomes a token and all that follows it, given the state at the token;
+    # steps of few texts, at the end, are many: there only this recursion goes step by step
     moves = np.zeros((states, states))
-    after = None
-    for t in range(len(active) - 1, -1, -1):
+    wide = int(np.searchsorted(-active, -FEW, side="right"))  # steps of at least FEW texts
+    tail = edge[wide]
+    seen[:, tail:] /= scales[tail:]
+    for t in range(len(active) - 2, wide - 1, -1):
+        begin, end = edge[t + 1], edge[t + 2]
+        seen[:, edge[t] : edge[t] + end - begin] *= move @ seen[:, begin:end]
+    previous = np.arange(edge[min(wide + 1, len(active))], n_tokens) - np.repeat(active[wide:-1], active[wide + 1 :])
+    for k in range(0, len(previous), STRETCH):
+        at = previous[k : k + STRETCH]
+        after = seen[:, n_tokens - len(previous) + k :][:, : len(at)]
+        now = state[:, at]
+        moves += now @ after.T
+        state[:, at] = now * (move @ after)  # the states' probability given the whole text
+    for t in range(wide - 1, -1, -1):
         now, ahead = state[:, edge[t] : edge[t + 1]], seen[:, edge[t] : edge[t + 1]]
-        if after is not None:
-            m = after.shape[1]
-            moves += now[:, :m] @ after.T
+        if t + 1 < len(active):
+            after = seen[:, edge[t + 1] : edge[t + 2]]
+            n = after.shape[1]
+            moves += now[:, :n] @ after.T
             back = move @ after
-            now[:, :m] *= back  # what remains of the states is their probability given the whole text
-            ahead[:, :m] *= back
+            now[:, :n] *= back
+            ahead[:, :n] *= back
         ahead /= scales[edge[t] : edge[t + 1]]
-        after = ahead
     emitted = np.stack([np.bincount(observed, state[s], classes) for s in range(states)], 1)
     return state[:, : active[0]].sum(1, dtype=np.float64), moves * move, emitted, float(np.log(scales, dtype=np.float64).sum())
 
@@ -305,25 +327,22 @@ def _groups(texts: pa.Array, words: Lexicon):
 
 
 def encode(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> DataFrame:
-    """Training texts as class numbers in lock-step groups: (level, active, observed), written once.
-
-    Level 0 is one text in ``EARLY[0]``, with level 1 it is one in ``EARLY[1]``, and so on.
-    """
-    turn = F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(EARLY[0]))
-    level = sum(((turn >= EARLY[0] // n).cast("int") for n in EARLY[1:]), (turn >= 1).cast("int"))
+    """Training texts as class numbers in lock-step groups: (block, active, observed), written once."""
+    turn = F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(sum(BLOCKS)))
+    block = sum((turn >= int(n)).cast("int") for n in np.cumsum(BLOCKS)[:-1])
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 12 << 20):
-                for level in range(len(EARLY) + 1):
-                    part = batch.filter(pc.equal(batch.column("level"), level))
+            for batch in slices(whole, "text", LAID_OUT):
+                for block in range(len(BLOCKS)):
+                    part = batch.filter(pc.equal(batch.column("block"), block))
                     found = [(active.astype("<i4").tobytes(), observed.astype("<u2").tobytes()) for _, active, observed in _groups(part.column("text"), words)]
                     if found:
                         active, observed = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([level] * len(found), pa.int32()), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["level", "active", "observed"])
+                        yield pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int32()), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["block", "active", "observed"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text"), level.alias("level"))
-    return cut_lineage(rows.mapInArrow(run, "level int, active binary, observed binary"))
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), block.alias("block"))
+    return cut_lineage(rows.mapInArrow(run, "block int, active binary, observed binary"))
 
 
 def _count(encoded: DataFrame, words: Lexicon, model) -> tuple:
@@ -380,18 +399,34 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
         model = seed_model([], words.classes, prior)
     encoded = encode(docs, words, id_col, text_col)
     tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism  # each sends its sums once a round
-    for level in range(len(EARLY) + 1):
-        part = encoded.coalesce(tasks) if level == len(EARLY) else cut_lineage(encoded.where(F.col("level") <= level).coalesce(tasks))
-        last = -np.inf
-        while True:
-            *sums, likelihood = _count(part, words, model)
-            model = maximise(*sums, prior)
-            if likelihood - last <= TOLERANCE * abs(likelihood):
-                break
-            last = likelihood
+    part = lambda blocks: cut_lineage(encoded.where(blocks).coalesce(tasks))
+    few, quarter = part(F.col("block") == 0), part(F.col("block") <= 1)
+    model, _ = settle(model, [few], words, prior)
+    model, sums = settle(model, [quarter], words, prior)
+    model, _ = settle(model, [quarter, *(part(F.col("block") == k) for k in range(2, len(BLOCKS)))], words, prior, sums)
     return model
 
 
+def settle(model: tuple, blocks: list, words: Lexicon, prior, sums: list | None = None) -> tuple:
+    """``(model, sums)`` after rounds over ``blocks`` until one raises the log-likelihood too little.
+
+    ``sums`` holds the expected counts and likelihood of each block that was
+    counted; the model is that of their total. Blocks that ``sums`` has
+    already begin as counted there, and the first round starts after them.
+    """
+    sums, last = list(sums or []), -np.inf
+    start = len(sums) % len(blocks)
+    while True:
+        for k in [*range(start, len(blocks)), *range(start)]:
+            found = _count(blocks[k], words, model)
+            sums[k : k + 1] = [found]
+            model = maximise(*(sum(x) for x in list(zip(*sums, strict=True))[:3]), prior)
+        likelihood = sum(x[3] for x in sums)
+        if likelihood - last <= TOLERANCE * abs(likelihood):
+            return model, sums
+        last = likelihood
+
+
 def _score(words: Lexicon, model, shards: int):
     """Rows (shard, uid, kind, blob): a batch's texts with what is known here, and its rare words by shard."""
 
