@@ -11,8 +11,8 @@ add-one share of their class. Both numbers grow with the vocabulary, up to
 what a table that every executor holds may have (``MOST_OWN``,
 ``MOST_SHARED``).
 
-Training texts are written once as class numbers, laid out for the
-recursions. States start from expectation-maximisation on at most
+Training texts are written once as class numbers, and block by block laid
+out for the recursions. States start from expectation-maximisation on at most
 ``SEED_ROWS`` texts, go on over every sixteenth and every fourth text (by
 hashed id), and then over all training texts. A round runs scaled
 forward-backward over its texts, and the partitions' expected counts are summed
@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +51,10 @@ SEED_ROWS, SEED_ROUNDS, TOLERANCE = 512, 12, 1e-4
 BLOCKS = (1, 3, 4, 4, 4)
 #: Tokens of a batch that run in lock step, and classes of a row of expected counts.
 TOKENS, ROW = 1 << 20, 4096
-#: Bytes of text that are laid out together, texts of a step that is worth its own products, and tokens of a product over many steps.
-LAID_OUT, FEW, STRETCH = 32 << 20, 256, 1 << 14
+#: Bytes of text encoded at once, and tokens that are laid out together.
+ENCODED, LAID_OUT = 32 << 20, 1 << 23
+#: Texts of a step that is worth its own products, and tokens of a product over many steps.
+FEW, STRETCH = 256, 1 << 14
 
 
 def tokens(texts: pa.Array):
@@ -327,22 +328,46 @@ def _groups(texts: pa.Array, words: Lexicon):
 
 
 def encode(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> DataFrame:
-    """Training texts as class numbers in lock-step groups: (block, active, observed), written once."""
+    """Training texts as class numbers, by block: (block, lengths, kinds), a batch's texts of a block in one row."""
     turn = F.pmod(F.xxhash64(F.lit(9), F.col(id_col)), F.lit(sum(BLOCKS)))
     block = sum((turn >= int(n)).cast("int") for n in np.cumsum(BLOCKS)[:-1])
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", LAID_OUT):
-                for block in range(len(BLOCKS)):
-                    part = batch.filter(pc.equal(batch.column("block"), block))
-                    found = [(active.astype("<i4").tobytes(), observed.astype("<u2").tobytes()) for _, active, observed in _groups(part.column("text"), words)]
-                    if found:
-                        active, observed = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int32()), pa.array(active, pa.binary()), pa.array(observed, pa.binary())], names=["block", "active", "observed"])
+            for batch in slices(whole, "text", ENCODED):
+                offsets, codes, hashes = tokens(batch.column("text"))
+                kinds = words.look_up(hashes)[1].astype("<u2")[codes] if len(codes) else np.zeros(0, "<u2")
+                lengths, own = np.diff(offsets), batch.column("block").to_numpy()
+                block_of = np.repeat(own, lengths)
+                blocks = np.unique(own)
+                columns = [pa.array(blocks, pa.int32()), pa.array([lengths[own == b].astype("<i4").tobytes() for b in blocks], pa.binary()), pa.array([kinds[block_of == b].tobytes() for b in blocks], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "lengths", "kinds"])
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"), block.alias("block"))
-    return cut_lineage(rows.mapInArrow(run, "block int, active binary, observed binary"))
+    return cut_lineage(rows.mapInArrow(run, "block int, lengths binary, kinds binary"))
+
+
+def lay_out(batches):
+    """Rows (active, observed) of the texts of a partition, ``LAID_OUT`` tokens or a batch's texts at a time.
+
+    The more texts are laid out together, the more of them run beside each other in every step.
+    """
+
+    def groups(lengths, kinds):
+        for _, active, observed in lock_step(np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)]), np.concatenate(kinds)):
+            yield pa.RecordBatch.from_arrays([pa.array([active.astype("<i4").tobytes()], pa.binary()), pa.array([observed.astype("<u2").tobytes()], pa.binary())], names=["active", "observed"])
+
+    lengths, kinds, size = [], [], 0
+    for batch in batches:
+        for n, k in zip(batch.column("lengths"), batch.column("kinds"), strict=True):
+            lengths.append(np.frombuffer(n.as_py(), "<i4"))
+            kinds.append(np.frombuffer(k.as_py(), "<u2"))
+            size += len(lengths[-1]) + len(kinds[-1])
+            if size >= LAID_OUT:
+                yield from groups(lengths, kinds)
+                lengths, kinds, size = [], [], 0
+    if lengths:
+        yield from groups(lengths, kinds)
 
 
 def _count(encoded: DataFrame, words: Lexicon, model) -> tuple:
@@ -399,7 +424,7 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
         model = seed_model([], words.classes, prior)
     encoded = encode(docs, words, id_col, text_col)
     tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism  # each sends its sums once a round
-    part = lambda blocks: cut_lineage(encoded.where(blocks).coalesce(tasks))
+    part = lambda blocks: cut_lineage(encoded.where(blocks).coalesce(tasks).mapInArrow(lay_out, "active binary, observed binary"))
     few, quarter = part(F.col("block") == 0), part(F.col("block") <= 1)
     model, _ = settle(model, [few], words, prior)
     model, sums = settle(model, [quarter], words, prior)
