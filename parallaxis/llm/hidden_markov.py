@@ -423,7 +423,7 @@ def train(docs: DataFrame, words: Lexicon, id_col: str, text_col: str) -> tuple:
     else:
         model = seed_model([], words.classes, prior)
     encoded = encode(docs, words, id_col, text_col)
-    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism  # each sends its sums once a round
+    tasks = docs.sparkSession.sparkContext.defaultParallelism  # each sends its sums once a round, so no more than can run at once
     part = lambda blocks: cut_lineage(encoded.where(blocks).coalesce(tasks).mapInArrow(lay_out, "active binary, observed binary"))
     few, quarter = part(F.col("block") == 0), part(F.col("block") <= 1)
     model, _ = settle(model, [few], words, prior)
