@@ -26,6 +26,18 @@ def number(docs: DataFrame, id_col: str) -> Column:
     return F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col).cast("string")))
 
 
+def least_hashed(rows: DataFrame, key: str, most: int, total: int) -> DataFrame:
+    """The ``most`` of ``total`` rows whose key has the least hash; keys are distinct and not null.
+
+    A bound on the hash goes first, one that twice as many rows pass as are
+    asked for: else every partition would send as many, and the rows that
+    meet in one place would grow with the partitions.
+    """
+    if total > 2 * most:
+        rows = rows.where(F.xxhash64(key) < F.lit(2**64 * 2 * most // total - 2**63))
+    return rows.orderBy(F.xxhash64(key), key).limit(most)
+
+
 def name_again(out: DataFrame, docs: DataFrame, id_col: str, number_col: str) -> DataFrame:
     """``out`` with the ids of ``docs``, named ``id_col``, in place of the numbers of ``number_col``."""
     rest = [c for c in out.columns if c != number_col]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parallaxis.llm.common import name_again, number
+from parallaxis.llm.common import least_hashed, name_again, number
 from parallaxis.operators.components import connected_components
 from parallaxis.runtime import cut_lineage
 
@@ -240,7 +240,7 @@ select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = c
 def _of_width(classes: DataFrame, threshold: float) -> DataFrame:
     """Rows (vec, root, links) of the classes of one vector length."""
     total = classes.count()
-    sample = classes.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("direction").collect()
+    sample = least_hashed(classes, "vec", SAMPLE, total).select("direction").collect()
     points = np.array([np.frombuffer(r[0], np.float64) for r in sample])
     half = points.shape[1] // 2
     words = int(min(MOST_WORDS, max(LEAST_WORDS, total**0.25)))
