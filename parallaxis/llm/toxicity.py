@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parallaxis.llm.common import hash_words, mix, slices, split_words
+from parallaxis.llm.common import hash_words, least_hashed, mix, slices, split_words
 
 #: Hashed places, the most labelled rows to learn from, passes over them.
 BITS, ROWS, PASSES = 20, 12_288, 4
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col), 5, 0))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(ROWS)
+    chosen = least_hashed(known, "_id", ROWS, known.count())
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "_id")
     rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
     rows = rows.groupBy("_id").agg(F.max("text").alias("text"), F.max("label").alias("label")).withColumn("rank", F.xxhash64("_id"))
