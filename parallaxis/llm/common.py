@@ -29,12 +29,13 @@ def number(docs: DataFrame, id_col: str) -> Column:
 def least_hashed(rows: DataFrame, key: str, most: int, total: int) -> DataFrame:
     """The ``most`` of ``total`` rows whose key has the least hash; keys are distinct and not null.
 
-    A bound on the hash goes first, one that twice as many rows pass as are
-    asked for: else every partition would send as many, and the rows that
-    meet in one place would grow with the partitions.
+    A bound on the hash goes first, one that twice as many rows and 100 more
+    are expected to pass as are asked for: else every partition would send as
+    many, and the rows that meet in one place would grow with the partitions.
     """
-    if total > 2 * most:
-        rows = rows.where(F.xxhash64(key) < F.lit(2**64 * 2 * most // total - 2**63))
+    passing = 2 * most + 100
+    if total > passing:
+        rows = rows.where(F.xxhash64(key) < F.lit(2**64 * passing // total - 2**63))
     return rows.orderBy(F.xxhash64(key), key).limit(most)
 
 

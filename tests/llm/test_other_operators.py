@@ -6,10 +6,11 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from parallaxis.llm import jpeg_media, multi_index, url_filter
+from parallaxis.llm import common, jpeg_media, multi_index, url_filter
 
 SF = "/root/testdata/sf0.001"
 
@@ -181,3 +182,10 @@ def test_pipeline_stages(spark):
     for r in pieces:
         room[r.sequence_id] += r.length
     assert max(room.values()) <= 2048 and {r.doc_id for r in pieces} == {r.doc_id for r in stage.collect()}
+
+
+@pytest.mark.parametrize("most", [5, 200, 500, 1000])
+def test_least_hashed_rows_are_those_of_the_whole_order(spark, most):
+    rows = spark.range(1000).select((F.col("id") * 7 - 300).alias("key"))
+    got = [r.key for r in common.least_hashed(rows, "key", most, 1000).collect()]
+    assert got == [r.key for r in rows.orderBy(F.xxhash64("key"), "key").limit(most).collect()] and len(got) == most

@@ -470,3 +470,21 @@ def test_empty_tables(spark, docs):
     marks = spark.createDataFrame([], "doc_id LONG, toxic INT")
     for out in (substring_dedup.remove_repeats(none), substring_dedup.remove_repeats(none, digest=True), jaccard_join.jaccard_join(none), jaccard_join.distinct_documents(none), mixing.mix(none), mixing.mixed_documents(none), pattern_packing.pack(none), hidden_markov.language_scores(none), toxicity.score(none, toxicity.fit(none, marks), score_col="_s")):
         assert out.count() == 0
+
+
+@pytest.mark.parametrize("together", [1, 40, 1 << 20])
+def test_texts_laid_out_together_are_the_texts_encoded(monkeypatch, together):
+    monkeypatch.setattr(hidden_markov, "LAID_OUT", together)
+    monkeypatch.setattr(hidden_markov, "TOKENS", 50)
+    rng = np.random.default_rng(5)
+    rows = [[rng.integers(1, 9, n).astype("<u2") for n in rng.integers(0, 30, size)] for size in (3, 1, 7, 4)]
+    rows.append([np.zeros(0, "<u2")])
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array([np.array([len(t) for t in r], "<i4").tobytes() for r in part]), pa.array([np.concatenate(r).tobytes() for r in part])], names=["lengths", "kinds"])
+    found = []
+    for group in hidden_markov.lay_out([batch(rows[:2]), batch(rows[2:])]):
+        active, observed = np.frombuffer(group["active"][0].as_py(), "<i4"), np.frombuffer(group["observed"][0].as_py(), "<u2")
+        edge = np.concatenate([[0], np.cumsum(active)])
+        for r in range(active[0]):
+            found.append([int(observed[edge[t] + r]) for t in range(len(active)) if r < active[t]])
+    assert sorted(found) == sorted(t.tolist() + [0] for r in rows for t in r)
+    assert list(hidden_markov.lay_out([])) == []
