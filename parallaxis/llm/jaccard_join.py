@@ -3,11 +3,10 @@
 Each distinct set of five-word shingles has a signature of ``DEPTH`` hash
 values in each tree of the forest; documents below one node of a tree's
 prefix trie share a prefix of it. Matched prefixes start at the full depth
-and are shortened, a value at a time, until the recall that is measured
-reaches the target. It is measured on a bounded sample of the documents, each
-against neighbours exactly at the threshold made from its own shingles, the
-hardest pairs that must be found. Every document is then signed to that
-depth. A prefix is held as one 64-bit number, its values in order from the
+and are shortened, a value at a time, until the recall expected of a pair at
+the threshold reaches the target: two sets share a value with their Jaccard
+similarity as probability, whatever they hold, so no document need be sampled
+for it. Every document is signed to that depth. A prefix is held as one 64-bit number, its values in order from the
 highest bits, so prefixes sort as the trie does; the nodes of the trie at
 that depth are the candidate groups, deeper nodes lie inside them.
 
@@ -30,14 +29,14 @@ from parallaxis.runtime import cut_lineage
 SHINGLE, THRESHOLD = 5, 0.8
 #: Trees, their full depth, and the recall to reach at the threshold.
 TREES, DEPTH, RECALL = 16, 8, 0.9995
-#: Documents that the depth is fitted on (of least hashed id, none longer than so many bytes), and neighbours made of each.
+#: Documents that ``fitted_depth`` measures (of least hashed id, none longer than so many bytes), and neighbours made of each.
 SAMPLE, LONGEST, MADE = 1024, 1 << 16, 16
 #: Members and shingles of a chunk of a large group.
 CHUNK_MEMBERS, CHUNK_SHINGLES = 2048, 1 << 20
 
 
 def prefix_depth(threshold: float, trees: int, depth: int, recall: float) -> int:
-    """The longest prefix expected to reach the recall; for corpora without a sample to measure it on."""
+    """The longest prefix whose expected recall, for any pair at the threshold, reaches ``recall``."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -67,7 +66,10 @@ def matched_depths(values: np.ndarray, threshold: float, rng) -> np.ndarray:
 
 
 def fitted_depth(rows: DataFrame, threshold: float, recall: float = RECALL) -> int:
-    """Shorten the prefix from ``DEPTH`` until the share of sampled neighbours that meet in some tree reaches ``recall``."""
+    """Shorten the prefix from ``DEPTH`` until the share of sampled neighbours that meet in some tree reaches ``recall``.
+
+    A measurement that holds ``prefix_depth`` against documents; the join takes nothing from it.
+    """
     short = rows.where((F.octet_length("text") > 0) & (F.octet_length("text") <= LONGEST) & F.col("doc").isNotNull())
     chosen = short.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(SAMPLE)
     sample = short.join(F.broadcast(chosen), "key").groupBy("key").agg(F.max("text").alias("text"))
@@ -263,7 +265,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     text = F.col(text_col).cast("string")
     rows = docs.select(number(docs, id_col).alias("doc"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
-    depth = fitted_depth(rows, threshold)
+    depth = prefix_depth(threshold, TREES, DEPTH, RECALL)
     signed = cut_lineage(rows.mapInArrow(_signatures(depth), "doc long, key long, size long, digest long, labels binary"))
     known = signed.where("doc is not null and size > 0")
     classes = known.groupBy("digest", "size").agg(F.min(F.struct("doc", "key", "labels")).alias("rep"), F.count("*").alias("copies"))

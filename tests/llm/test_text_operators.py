@@ -151,6 +151,14 @@ def test_depth_is_fitted_to_the_measured_recall(spark, docs):
     assert jaccard_join.fitted_depth(rows.limit(0), 0.8) == jaccard_join.prefix_depth(0.8, 16, 8, 0.9995)
 
 
+def test_depth_of_the_join_comes_from_no_sample(docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "fitted_depth", lambda *a: pytest.fail("the depth was fitted on a sample"))
+    depths, signatures = [], jaccard_join._signatures
+    monkeypatch.setattr(jaccard_join, "_signatures", lambda d: depths.append(d) or signatures(d))
+    assert jaccard_join.jaccard_join(docs).count() == docs.count()
+    assert depths == [4]
+
+
 def test_joins_of_named_documents(docs):
     named = docs.dropDuplicates(["doc_id"]).withColumn("doc_id", F.concat(F.lit("n"), F.col("doc_id"))).withColumn("doc", F.lit(0))
     links = {r.doc_id: r.n_links for r in jaccard_join.jaccard_join(named).collect()}
