@@ -12,11 +12,14 @@ those of least hashed id.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from parallaxis.llm.common import hash_words, least_hashed, mix, slices, split_words
 
@@ -26,6 +29,8 @@ BITS, ROWS, PASSES = 20, 12_288, 4
 LONGEST = 1 << 16
 #: Training rows that must have a feature for it to count.
 LEAST = 3
+#: Bytes of text whose features are made at once: they take many times as much memory.
+PART = 1 << 20
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 strength.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 3.0, 0.1
 #: Characters that do not belong to a word at its ends.
@@ -50,25 +55,35 @@ def features(texts: pa.Array):
     return document, place.astype(np.int64)
 
 
-def train(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Places and weights that are not zero, and the bias. Rows count in the order given."""
-    parts, sizes = [], []
-    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", 1 << 20):
+def places_of(texts: pa.Array):
+    """Slice by slice ``(places, sizes)``: the distinct places of each text in turn, and how many each text has."""
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text", PART):
         document, place = features(part.column(0))
         rows = np.unique(document << BITS | place)
-        parts.append((rows & ((1 << BITS) - 1)).astype(np.int32))
-        sizes.append(np.bincount(rows >> BITS, minlength=len(part)))
-    places = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.concatenate(sizes) if sizes else 0)
-    del parts
-    common = (np.bincount(places, minlength=1 << BITS) >= LEAST)[places]
-    places = places[common]
-    cuts = np.searchsorted(owner[common], np.arange(len(labels) + 1))
-    del owner, common
+        yield (rows & ((1 << BITS) - 1)).astype(np.int32), np.bincount(rows >> BITS, minlength=len(part))
+
+
+def common_places(parts: list) -> list[np.ndarray]:
+    """Of each text the places that ``LEAST`` texts or more have. Empties ``parts``: what is rare goes slice by slice."""
+    seen = np.zeros(1 << BITS, np.int64)
+    for places, _ in parts:
+        seen += np.bincount(places, minlength=1 << BITS)
+    common, kept = seen >= LEAST, []
+    for k, (places, sizes) in enumerate(parts):
+        parts[k] = None
+        here = common[places]
+        cuts = np.concatenate([[0], np.cumsum(here)])[np.cumsum(sizes)]
+        kept += np.split(places[here], cuts[:-1])
+    parts.clear()
+    return kept
+
+
+def descend(rows: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Places and weights that are not zero, and the bias, from the places of each row in the order given."""
     z, n, weight = np.zeros((3, (1 << BITS) + 1))
     for _ in range(PASSES):
-        for k, label in enumerate(labels):
-            at = np.append(places[cuts[k] : cuts[k + 1]], 1 << BITS)  # the last place is the bias
+        for places, label in zip(rows, labels, strict=True):
+            at = np.append(places, 1 << BITS)  # the last place is the bias
             own = weight[at]
             error = 1 / (1 + np.exp(-np.clip(own.sum(), -35, 35))) - label
             square = error * error
@@ -83,6 +98,11 @@ def train(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return live, weight[live], float(weight[-1])
 
 
+def train(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Places and weights that are not zero, and the bias. Rows count in the order given."""
+    return descend(common_places(list(places_of(texts))), labels)
+
+
 def held_out(id_col: Column, modulus: int, remainder: int) -> Column:
     """Rows kept from learning: crc32 of the id as text; a null id is kept from it too."""
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string")), F.lit(modulus)) == remainder, F.lit(True))
@@ -93,7 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Rows with a null id or label teach nothing; of repeated ids the greatest
     label and text count. The chosen ids (at most ``ROWS``) are broadcast,
-    their texts meet in one task, which returns the sparse weights.
+    their texts meet in one task, which turns them batch by batch into places
+    and returns the sparse weights.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col), 5, 0))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
@@ -102,13 +123,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
     rows = rows.groupBy("_id").agg(F.max("text").alias("text"), F.max("label").alias("label")).withColumn("rank", F.xxhash64("_id"))
 
-    def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("rank", "ascending"), ("label", "ascending")])
-        text = table.column("text").combine_chunks()
-        if isinstance(text, pa.ChunkedArray):
-            text = pa.concat_arrays(text.chunks)
-        live, weight, bias = train(text, table.column("label").to_numpy())
-        return pa.table([pa.array([live.astype("<i4").tobytes()]), pa.array([weight.astype("<f8").tobytes()]), pa.array([bias])], names=["places", "weights", "bias"])
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, given = [], []
+        for batch in batches:  # each batch's text goes when its places are known
+            parts += places_of(batch.column("text"))
+            given.append([np.array(batch.column(c)) for c in ("label", "rank")])
+            del batch
+        label, rank = (np.concatenate(x) for x in zip(*given, strict=True))
+        places, order = common_places(parts), np.lexsort((label, rank))
+        live, weight, bias = descend([places[k] for k in order], label[order])
+        yield pa.RecordBatch.from_arrays([pa.array([live.astype("<i4").tobytes()]), pa.array([weight.astype("<f8").tobytes()]), pa.array([bias])], names=["places", "weights", "bias"])
 
     found = rows.select("text", "label", "rank", (F.col("label") * 0).alias("one")).groupBy("one").applyInArrow(learn, "places binary, weights binary, bias double").collect()
     if not found:
@@ -127,12 +151,15 @@ def score(docs: DataFrame, model, text_col: str = "text", score_col: str = "scor
         return docs.withColumn(score_col, F.lit(0.0))
     live, weight, bias = model
     given = docs.columns
+    at = next((k for k, f in enumerate(docs.schema) if f.name == text_col and isinstance(f.dataType, StringType)), None)
+    rows = docs.select(F.struct(*[F.col(c) for c in given]).alias("_row"), *[F.col(text_col).cast("string").alias("_text")] * (at is None))
 
     def run(batches):
         table = np.zeros(1 << BITS)
         table[live] = weight
         for whole in batches:
-            for batch in slices(whole, "_text"):
+            texts = whole.column("_text") if at is None else pc.struct_field(whole.column("_row"), [at])  # a text travels once
+            for batch in slices(pa.RecordBatch.from_arrays([whole.column("_row"), texts], names=["_row", "_text"]), "_text", PART):
                 document, place = features(batch.column("_text"))
                 hit = np.flatnonzero(table[place])
                 pairs = np.unique(document[hit] << BITS | place[hit])
@@ -140,7 +167,6 @@ def score(docs: DataFrame, model, text_col: str = "text", score_col: str = "scor
                 found = 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
                 yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(found)], names=["_row", "_score"])
 
-    rows = docs.select(F.struct(*[F.col(c) for c in given]).alias("_row"), F.col(text_col).cast("string").alias("_text"))
     kind = rows.schema["_row"].dataType.simpleString()
     out = rows.mapInArrow(run, f"_row {kind}, _score double")
     return out.select(*[F.col("_row")[c].alias(c) for c in given], F.col("_score").alias(score_col))

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -413,6 +414,40 @@ def test_weights_are_those_of_learning_row_by_row():
     assert {int(k): round(float(v), 9) for k, v in zip(live, found, strict=True)} == {p: round(v, 9) for p, v in weight.items() if v and p != "bias"}
 
 
+def test_training_keeps_no_more_than_places_of_the_texts():
+    rng = np.random.default_rng(4)
+    texts = pa.array([" ".join(np.char.mod("%d", rng.integers(0, 10**6, 6_000))) for _ in range(200)])
+    labels = (np.arange(200) % 2).astype(int)
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    places = 200 * 6_000 * 4 * 4  # four of 4 bytes for a word
+    fixed = 3 * 8 << toxicity.BITS  # the weights and their sums
+    assert peak < places + fixed + (32 << 20)
+
+
+def test_training_does_not_depend_on_batches(spark):
+    rnd = random.Random(12)
+    rows = [(k, " ".join(rnd.choice(["vile", "calm", "warm", "Bad.", "so", "it"]) for _ in range(rnd.randint(1, 9)))) for k in range(150)]
+    docs = spark.createDataFrame([*rows, (150, None)], "doc_id LONG, text STRING")
+    marks = spark.createDataFrame([(k, int("vile" in (t or ""))) for k, t in [*rows, (150, None)]], "doc_id LONG, toxic INT")
+    kept = [r for r in docs.withColumn("rank", F.xxhash64("doc_id")).orderBy("rank").collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    live, weight, bias = toxicity.train(pa.array([r.text for r in kept]), np.array([int("vile" in (r.text or "")) for r in kept]))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = toxicity.fit(docs, marks)
+        scored = {r.doc_id: r.score for r in toxicity.score(docs, got).collect()}
+        again = {r.doc_id: r.score for r in toxicity.score(docs.withColumn("text", F.col("text").cast("binary")), got).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert np.array_equal(got[0], live) and np.array_equal(got[1], weight) and got[2] == bias
+    assert scored == again and len(scored) == 151 and math.isclose(scored[150], 1 / (1 + math.exp(-bias)))
+
+
 def test_html_blocks_and_labels(spark):
     page = '<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">Menu</a><li>More</ul></nav><div class="ad">Buy &amp; go</div><article><h1>The  title</h1><p><b>First&nbsp;one.<br><p>Second &lt;two&gt; <a href=x>link</a> text, with more.</article><footer>&copy; me</footer>'
     assert [t for t, _, _ in html_extraction.blocks(page)] == ["T", "Menu", "More", "Buy & go", "The title", "First one.", "Second <two> link text, with more.", "© me"]
